@@ -1,0 +1,41 @@
+"""Hand-made flow: clean → TF-IDF → stratified folds → cosine kNN → metrics.
+
+All folds are predicted in one plan (fold is a column); the pair table is the only
+large intermediate and is checkpointed once, because four branches read it.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
+
+from ..operators.folds import distinct_classes, stratified_folds
+from ..operators.knn import cross_validated_neighbours, k_from_size, predict
+from ..operators.metrics import macro_metrics
+from ..operators.similarity import SALT_BLOCK, all_pairs_similarity
+from ..operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
+
+
+class KnnRun(NamedTuple):
+    model: TfidfModel
+    folds: DataFrame
+    k: int
+    pairs: DataFrame
+    neighbours: DataFrame
+    predictions: DataFrame
+    metrics: DataFrame
+
+
+def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_folds: int = 10, seed: int = 42,
+                         k: int | None = None, block: int = SALT_BLOCK, checkpoint: bool = True) -> KnnRun:
+    """``docs``: (doc_id, text, class). k defaults to ⌊√N⌋ (one count job)."""
+    model = fit_tfidf(docs, cfg)
+    folds = stratified_folds(docs, n_folds, seed)
+    if k is None:
+        k = k_from_size(docs.count())
+    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block)
+    neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint)
+    preds = predict(neigh, folds)
+    metrics = macro_metrics(preds, distinct_classes(docs))
+    return KnnRun(model, folds, k, pairs, neigh, preds, metrics)
