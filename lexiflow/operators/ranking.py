@@ -1,10 +1,10 @@
 """Ranks inside groups that may be huge (one class may hold a third of all rows).
 
-``row_number() OVER (PARTITION BY g ORDER BY h)`` sorts a whole group in one task.
-When the order key is a uniformly distributed hex hash (md5), the order can be cut
-into contiguous buckets by the hash prefix: rank inside (group, bucket) — small
-groups — and add the number of rows of the group in earlier buckets, taken from a
-(group, bucket) count table whose size is bounded by #groups × 16^prefix.
+``row_number() OVER (PARTITION BY g ORDER BY key)`` sorts a whole group in one task.
+For a string key the order can be cut into contiguous buckets by the key's prefix
+(strings with a smaller prefix sort first): rank inside (group, bucket) — small
+groups when the key is a uniform hash (md5 hex), or distinct terms — and add the
+rows of the group in earlier buckets, taken from a (group, bucket) count table.
 Deterministic, so a lost task recomputes the same ranks.
 """
 
@@ -22,9 +22,10 @@ def seeded_hash(id_col: str | Column, seed: int | str) -> Column:
     return F.md5(F.concat(c.cast("string"), F.lit(f":{seed}")))
 
 
-def hash_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str, tie_col: str,
-              out: str = "rn", prefix_len: int = 3) -> DataFrame:
-    """Add ``out`` = 0-based rank of each row inside ``group_cols`` ordered by (hash_col, tie_col)."""
+def prefix_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str, tie_col: str,
+                out: str = "rn", prefix_len: int = 3) -> DataFrame:
+    """Add ``out`` = 0-based rank of each row inside ``group_cols`` ordered by the string
+    ``hash_col`` then ``tie_col``."""
     g = list(group_cols)
     b = df.withColumn("_bucket", F.substring(F.col(hash_col), 1, prefix_len))
     local = b.withColumn(
@@ -35,3 +36,6 @@ def hash_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str, tie_col:
     return (local.join(offsets, [*g, "_bucket"])
             .withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint"))
             .drop("_bucket", "_local", "_off"))
+
+
+hash_rank = prefix_rank
