@@ -247,13 +247,15 @@ def _emb_with_query(spark, sf):
 
 def q_dot_product_arrays(spark, sf):
     e, first, qvec = _emb_with_query(spark, sf)
-    return e.select("vec_id", F.round(dot_arrays(F.col("embedding"), qvec), 6).alias("dot"))
+    e = e.withColumn("_qv", qvec)
+    return e.select("vec_id", F.round(dot_arrays(F.col("embedding"), F.col("_qv")), 6).alias("dot"))
 
 
 def q_cosine_embeddings(spark, sf):
     e, first, qvec = _emb_with_query(spark, sf)
+    e = e.withColumn("_qv", qvec)
     return e.select("vec_id", "label", F.round(norm_array(F.col("embedding")), 6).alias("norm"),
-                    F.round(cosine_arrays(F.col("embedding"), qvec), 6).alias("sim"))
+                    F.round(cosine_arrays(F.col("embedding"), F.col("_qv")), 6).alias("sim"))
 
 
 def q_knn_embeddings(spark, sf):
