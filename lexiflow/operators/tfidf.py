@@ -1,7 +1,9 @@
 """Vocabulary and TF-IDF in long (sparse) form.
 
-Every function maps DataFrames to DataFrames and triggers no job. Scalars that
-depend on the data (number of documents) enter the plan as scalar subqueries.
+Every function maps DataFrames to DataFrames. Scalars that depend on the data
+(number of documents) enter the plan as scalar subqueries. ``fit_tfidf`` runs one
+job: the per-(document, token) count table is checkpointed, since the vocabulary,
+the frequencies and the weights are all read from it.
 
 Rules kept from the reference (see README, "Semantics"):
 * the vocabulary is built from lower-cased tokens, but document tokens are matched
@@ -21,6 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..functions.text import (
     DEFAULT_STOP_WORDS,
     kept_words,
@@ -60,9 +63,16 @@ def document_count(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1)).cast("double")).scalar()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows when the scan gives fewer partitions than there are cores
+    (few large files or row groups): tokenising is CPU-bound. A no-op on a big input."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def corpus_tokens(docs: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
     """(doc_id, pos, token): the cleaned words of every document, in order."""
-    return docs.select(
+    return spread(docs).select(
         F.col(cfg.id_col).alias("doc_id"),
         F.posexplode(kept_words(F.col(cfg.text_col), cfg.stop_words, cfg.only_alpha, cfg.sep)).alias("pos", "token"),
     )
@@ -89,8 +99,21 @@ def stopword_filtered_terms(tokens: DataFrame, cfg: TfidfConfig = TfidfConfig())
 
 
 def vocabulary(tokens: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
-    """(term): distinct lower-cased terms that survive the stop list."""
-    return stopword_filtered_terms(tokens, cfg).select("term").distinct()
+    """(term): distinct lower-cased terms that survive the stop list. ``tokens`` needs a
+    ``token`` column only (positions are not used)."""
+    stops = lower_stop_set(cfg.stop_words, cfg.extra_stop_words)
+    words = tokens.select(F.lower("token").alias("low")).distinct()
+    terms = words.select(F.explode(vocabulary_parts(F.col("low"), cfg.split_contractions)).alias("term"))
+    cond = F.col("term") != F.lit("")
+    if stops:
+        cond = cond & ~F.lower("term").isin(stops)
+    return terms.where(cond).distinct()
+
+
+def document_tokens(tokens: DataFrame) -> DataFrame:
+    """(doc_id, token, n): occurrences of each raw token per document — the one table
+    every frequency below is derived from."""
+    return tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _match_token(tokens: DataFrame, cfg: TfidfConfig) -> DataFrame:
@@ -157,6 +180,7 @@ def tfidf_from_parts(counts: DataFrame, totals: DataFrame, idf: DataFrame) -> Da
 
 class TfidfModel(NamedTuple):
     tokens: DataFrame
+    doc_tokens: DataFrame
     vocab: DataFrame
     in_vocab: DataFrame
     counts: DataFrame
@@ -167,19 +191,27 @@ class TfidfModel(NamedTuple):
     n_docs: Column
 
 
-def fit_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), vocab: DataFrame | None = None) -> TfidfModel:
+def fit_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), vocab: DataFrame | None = None,
+              materialize: bool = True) -> TfidfModel:
     """Whole TF-IDF plan over ``docs(doc_id, text)``.
 
     ``vocab`` replaces the word-tokenizer vocabulary (e.g. a stored vocabulary, a union
     of vocabularies, or the fully merged words of a byte-pair encoding)."""
     tokens = corpus_tokens(docs, cfg)
-    vocab = vocabulary(tokens, cfg) if vocab is None else vocab.select("term").distinct()
+    # tokenising is the costly scan and four branches need it: aggregate per
+    # (document, token) once and materialise that table
+    dt = cut_lineage(document_tokens(tokens)) if materialize else document_tokens(tokens)
+    vocab = vocabulary(dt, cfg) if vocab is None else vocab.select("term").distinct()
     inv = in_vocab_tokens(tokens, vocab, cfg)
-    counts = term_counts(inv)
+    tok = F.lower("token") if cfg.match_case == "lower" else F.col("token")
+    counts = dt.select("doc_id", tok.alias("term"), "n").join(vocab.select("term"), "term", "left_semi")
+    if cfg.match_case == "lower":  # distinct raw tokens may lower to the same term
+        counts = counts.groupBy("doc_id", "term").agg(F.sum("n").alias("n"))
     totals = doc_term_totals(docs, counts, cfg)
     n_docs = document_count(docs)
     if cfg.freq == "collection":
-        freqs, col = collection_frequency(tokens, vocab), "cf"
+        low = dt.select(F.lower("token").alias("term"), "n").join(vocab.select("term"), "term", "left_semi")
+        freqs, col = low.groupBy("term").agg(F.sum("n").alias("cf")), "cf"
     elif cfg.freq == "document":
         freqs, col = document_frequency(counts), "df"
     else:
@@ -187,7 +219,7 @@ def fit_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), vocab: DataFram
     kept = frequency_filter(freqs, n_docs, cfg.min_df, cfg.max_df, col)
     idf = idf_table(kept, n_docs, col)
     tfidf = tfidf_from_parts(counts, totals, idf)
-    return TfidfModel(tokens, vocab, inv, counts, totals, freqs, idf, tfidf, n_docs)
+    return TfidfModel(tokens, dt, vocab, inv, counts, totals, freqs, idf, tfidf, n_docs)
 
 
 def transform_texts(texts: DataFrame, model: TfidfModel, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
