@@ -34,7 +34,8 @@ def _top(df: DataFrame, k: int, order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
-def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative: bool | None = None) -> DataFrame:
+def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative: bool | None = None,
+                   n_folds: int | None = None) -> DataFrame:
     """Top-k neighbours per query: (q, fold_q, rank, t, fold_t, sim).
 
     ``sims``: ordered pairs (q, t, fold_q, fold_t, sim) with non-zero (rounded) sim between
@@ -66,8 +67,9 @@ def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative:
     sizes = docs_folds.groupBy(F.col("fold").alias("g")).agg(F.count(F.lit(1)).alias("size_g"))
     sizes = sizes.withColumn("before_g", F.coalesce(
         F.sum("size_g").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    folds = [r[0] for r in docs_folds.select("fold").distinct().collect()]
-    f_lo, f_hi = (min(folds), max(folds)) if folds else (0, -1)
+    if n_folds is None:
+        n_folds = int(docs_folds.agg(F.max("fold")).first()[0] or 0) + 1
+    f_lo, f_hi = 0, n_folds - 1
     fq_size = sizes.select(F.col("g").alias("fold_q"), F.col("size_g").alias("size_q"))
     # per fill query and other fold g: how many of g's first rows fall in its first L candidates
     per_fold = (fill.withColumn("L", F.lit(k) + F.col("m"))
@@ -81,8 +83,10 @@ def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative:
     cand = (per_fold.select("q", "fold_q", "g", F.explode(F.sequence(F.lit(0), F.col("need") - 1)).alias("r"))
             .join(heads, ["g", "r"])
             .select("q", "fold_q", "t", F.col("g").alias("fold_t")))
-    nonzero_hits = sims.select("q", "t").join(cand.select("q", "t"), ["q", "t"], "left_semi")
-    zeros = cand.join(nonzero_hits, ["q", "t"], "left_anti").withColumn("sim", F.lit(0.0))
+    # non-zero pairs of the queries that need filling only (fewer than k + m per query):
+    # a semi-join with the fill set, broadcast by AQE when that set is small
+    nz = sims.select("q", "t").join(fill.select("q"), "q", "left_semi")
+    zeros = cand.join(nz, ["q", "t"], "left_anti").withColumn("sim", F.lit(0.0))
 
     cols = ["q", "fold_q", "t", "fold_t", "sim"]
     allc = pos_top.select(*cols).unionByName(zeros.select(*cols))
@@ -110,12 +114,20 @@ def predict(neighbours: DataFrame, docs_folds: DataFrame) -> DataFrame:
             .select("doc_id", "fold", F.col("class").alias("actual"), "predicted"))
 
 
-def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int, checkpoint: bool = True) -> DataFrame:
+def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int, checkpoint: bool = True,
+                               partitions: int | None = None, has_negative: bool | None = None,
+                               n_folds: int | None = None) -> DataFrame:
     """Neighbours for every document from the unordered pair table
     (lo, hi, sim, fold_lo, fold_hi) — the pooled result of all folds in one plan."""
     from .similarity import mirror_pairs
 
+    sims = mirror_pairs(pairs.select("lo", "hi", "fold_lo", "fold_hi", "sim"), ("fold",), ("sim",))
     if checkpoint:
-        pairs = cut_lineage(pairs.select("lo", "hi", "fold_lo", "fold_hi", "sim"))
-    sims = mirror_pairs(pairs, ("fold",), ("sim",))
-    return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k)
+        # partitioned by query, then checkpointed: every query's pairs sit in one partition,
+        # so the partial top-k and the partial counts that read it are already final and
+        # only k rows (resp. one row) per query are shuffled after them
+        spark = sims.sparkSession
+        n = max(partitions or 0, spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        sims = cut_lineage(sims.repartition(n, "q"))
+    return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)

@@ -64,10 +64,17 @@ def document_count(docs: DataFrame) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan gives fewer partitions than there are cores
-    (few large files or row groups): tokenising is CPU-bound. A no-op on a big input."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    """Round-robin the rows of an input too small to be split into one scan partition per
+    core (few files or row groups): tokenising is CPU-bound. The size is the optimizer's
+    estimate (no job); a big input is left as it is, its scan is already wide."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    try:
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: leave the input as it is
+        return df
+    return df.repartition(par) if size < split * par else df
 
 
 def corpus_tokens(docs: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:

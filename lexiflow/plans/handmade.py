@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from ..operators.folds import distinct_classes, stratified_folds
 from ..operators.knn import cross_validated_neighbours, k_from_size, predict
 from ..operators.metrics import macro_metrics
-from ..operators.similarity import SALT_BLOCK, all_pairs_similarity
+from ..operators.similarity import SALT_BLOCK, all_pairs_similarity, document_postings, pair_partitions
+from ..session import cut_lineage
 from ..operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
 
 
@@ -34,8 +35,12 @@ def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_fo
     folds = stratified_folds(docs, n_folds, seed)
     if k is None:
         k = k_from_size(docs.count())
-    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block)
-    neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint)
+    post = cut_lineage(document_postings(model.tfidf, folds))
+    n_part = pair_partitions(post)
+    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, partitions=n_part)
+    has_negative = post.where("w < 0").limit(1).count() > 0
+    neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint, partitions=n_part,
+                                       has_negative=has_negative, n_folds=n_folds)
     preds = predict(neigh, folds)
     metrics = macro_metrics(preds, distinct_classes(docs))
     return KnnRun(model, folds, k, pairs, neigh, preds, metrics)
