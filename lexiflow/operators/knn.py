@@ -35,18 +35,19 @@ def _top(df: DataFrame, k: int, order: list) -> DataFrame:
 
 
 def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative: bool | None = None,
-                   n_folds: int | None = None) -> DataFrame:
+                   n_folds: int | None = None, queries: DataFrame | None = None) -> DataFrame:
     """Top-k neighbours per query: (q, fold_q, rank, t, fold_t, sim).
 
     ``sims``: ordered pairs (q, t, fold_q, fold_t, sim) with non-zero (rounded) sim between
-    documents of different folds. ``docs_folds``: (doc_id, fold) of every document; all of
-    them are queries and candidates.
+    documents of different folds. ``docs_folds``: (doc_id, fold) of every document, folds
+    numbered 0..n_folds-1; all of them are candidates, and queries unless ``queries``
+    (doc_id, fold) names the documents to predict.
     """
     order = [F.col("sim").desc(), F.col("fold_t"), F.col("t")]
     pos_top = _top(sims.where(F.col("sim") > 0), k, order)
 
     stats = sims.groupBy("q").agg(F.count_if(F.col("sim") > 0).alias("p"), F.count_if(F.col("sim") < 0).alias("m"))
-    queries = docs_folds.select(F.col("doc_id").alias("q"), F.col("fold").alias("fold_q"))
+    queries = (docs_folds if queries is None else queries).select(F.col("doc_id").alias("q"), F.col("fold").alias("fold_q"))
     fill = (queries.join(stats, "q", "left").fillna(0, subset=["p", "m"]).where(F.col("p") < k))
 
     if has_negative is None:
@@ -131,3 +132,21 @@ def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int,
                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
         sims = cut_lineage(sims.repartition(n, "q"))
     return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)
+
+
+def predict_texts(texts: DataFrame, model, train: DataFrame, k: int, cfg=None) -> DataFrame:
+    """Classify new texts (doc_id, text) against a labelled train set (doc_id, class) under a
+    fitted TF-IDF ``model``: (doc_id, rank, t, sim, predicted) — one query × all train
+    documents, ties to train order (doc id), zero-similarity documents included."""
+    from .similarity import query_similarity
+    from .tfidf import TfidfConfig, transform_texts
+
+    cfg = cfg or TfidfConfig()
+    qv = transform_texts(texts, model, cfg)
+    sims = (query_similarity(qv, model.tfidf)
+            .select("q", "t", F.lit(0).alias("fold_q"), F.lit(1).alias("fold_t"), "sim"))
+    train_f = train.select("doc_id", F.lit(1).alias("fold"))
+    q_f = texts.select("doc_id", F.lit(0).alias("fold"))
+    nb = knn_neighbours(sims, train_f.unionByName(q_f), k, has_negative=None, n_folds=2, queries=q_f)
+    pred = vote(nb, train.select("doc_id", "class"))
+    return (nb.join(pred, "q").select(F.col("q").alias("doc_id"), "rank", "t", "sim", "predicted"))

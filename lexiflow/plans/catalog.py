@@ -237,6 +237,35 @@ def q_argmax_scores(spark, sf):
     return out.select("doc_id", "code", F.col("class").alias("predicted"))
 
 
+def q_knn_query_predict(spark, sf):
+    d = _docs(spark, sf)
+    m = tf.fit_tfidf(d, CFG)
+    bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    k = knn.k_from_size(d.count())
+    return knn.predict_texts(bench, m, d.select("doc_id", "class"), k, CFG)
+
+
+def _vote_share_model(batch):
+    """Toy per-fold model for the scoring operator: class scores = neighbour vote shares."""
+    import numpy as np
+    import pandas as pd
+
+    s = np.stack(batch["scores"].to_numpy()).astype("float64")
+    share = s / s.sum(axis=1, keepdims=True)
+    return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fold": batch["fold"].to_numpy(),
+                         "code": share.argmax(axis=1).astype("int32"), "confidence": share.max(axis=1)})
+
+
+def q_batch_score(spark, sf):
+    run = _run(spark, sf)
+    codes = scoring.label_codes(_docs(spark, sf))
+    scores = scoring.vote_scores(run.neighbours, run.folds, codes).join(run.folds.select("doc_id", "fold"), "doc_id")
+    models = run.folds.select("fold").distinct()
+    out = scoring.score_batches(scores, _vote_share_model, "doc_id long, fold int, code int, confidence double", models)
+    return scoring.decode(out, codes).select("doc_id", "fold", "code", F.col("class").alias("predicted"),
+                                             F.round("confidence", 9).alias("confidence"))
+
+
 # ---------------------------------------------------------------- dense vectors (embeddings)
 def _emb_with_query(spark, sf):
     e = read_table(spark, sf, "embeddings")

@@ -129,9 +129,14 @@ def _r9(*cols: str) -> str:
 
 
 def _smooth(min_df=1, max_df=1.0, max_features=None) -> str:
+    return _with(*BASE, _smooth_ctes(min_df, max_df, max_features)) + \
+        "SELECT v.doc_id, v.term, v.count, round(v.v / vn.norm, 9) AS weight FROM v JOIN vn ON vn.doc_id = v.doc_id"
+
+
+def _smooth_ctes(min_df=1, max_df=1.0, max_features=None) -> str:
     n = "(SELECT n FROM nd)"
     limit = f"ORDER BY total DESC, term LIMIT {int(max_features)}" if max_features else ""
-    return _with(*BASE, f"""clean AS (SELECT doc_id, array_to_string(words, ' ') || CASE WHEN len(words) > 0 THEN ' ' ELSE '' END AS clean_text FROM kw),
+    return (f"""clean AS (SELECT doc_id, array_to_string(words, ' ') || CASE WHEN len(words) > 0 THEN ' ' ELSE '' END AS clean_text FROM kw),
 st AS (SELECT doc_id, unnest(regexp_extract_all(lower(clean_text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM clean),
 sc AS (SELECT doc_id, term, count(*) AS count FROM st GROUP BY 1, 2),
 nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d),
@@ -139,8 +144,7 @@ stats AS (SELECT term, count(*) AS df, sum(count) AS total FROM sc GROUP BY term
 kept AS (SELECT * FROM stats WHERE CAST(df AS DOUBLE) >= {_bound(min_df, n)} AND CAST(df AS DOUBLE) <= {_bound(max_df, n)} {limit}),
 sidf AS (SELECT term, ln((1.0 + {n}) / (1.0 + CAST(df AS DOUBLE))) + 1.0 AS idf FROM kept),
 v AS (SELECT sc.doc_id, sc.term, sc.count, CAST(sc.count AS DOUBLE) * sidf.idf AS v FROM sc JOIN sidf ON sidf.term = sc.term),
-vn AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM v GROUP BY doc_id)""") + \
-        "SELECT v.doc_id, v.term, v.count, round(v.v / vn.norm, 9) AS weight FROM v JOIN vn ON vn.doc_id = v.doc_id"
+vn AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM v GROUP BY doc_id)""")
 
 
 WORDS = ("wt AS (SELECT lower(token) AS word, count(*) AS freq FROM tok WHERE lower(token) <> '' GROUP BY 1)",
@@ -206,6 +210,17 @@ nt AS (SELECT doc_id, CAST(sum(w * w) AS BIGINT) AS nsq FROM tp GROUP BY 1),
 qs AS (SELECT q, t, dot, round(CAST(dot AS DOUBLE) / (sqrt(CAST(nq.nsq AS DOUBLE)) * sqrt(CAST(nt.nsq AS DOUBLE))), 6) AS sim
     FROM qd JOIN nq ON nq.doc_id = qd.q JOIN nt ON nt.doc_id = qd.t)""") + "SELECT q, t, dot, sim FROM qs WHERE sim <> 0"
     q["knn_neighbours"] = _with(*KNN) + "SELECT q, rank, t, sim FROM nb"
+    q["knn_library"] = _with(*BASE, _smooth_ctes(C.LIB_MIN_DF, C.LIB_MAX_DF, C.LIB_MAX_FEATURES), folds_ctes(), """lw AS (SELECT v.doc_id, v.term, v.v / vn.norm AS w FROM v JOIN vn ON vn.doc_id = v.doc_id),
+lpost AS (SELECT lw.doc_id, lw.term, lw.w, f.fold FROM lw JOIN folds f ON f.doc_id = lw.doc_id WHERE lw.w <> 0),
+ldot AS (SELECT a.doc_id AS lo, b.doc_id AS hi, sum(a.w * b.w) AS dot
+    FROM lpost a JOIN lpost b ON a.term = b.term AND a.doc_id < b.doc_id AND a.fold <> b.fold GROUP BY 1, 2),
+lsim AS (SELECT lo, hi, round(dot, 9) AS sim FROM ldot)""", knn_ctes(sim_table="lsim")) + \
+        "SELECT doc_id, fold, actual, predicted FROM preds"
+    inner = _with(*MODEL, f"top AS (SELECT term FROM idf ORDER BY cf DESC, term LIMIT {C.WIDE_TERMS})") + \
+        "SELECT doc_id, term, w / 1000000.0 AS tfidf FROM tfidf WHERE term IN (SELECT term FROM top)"
+    q["tfidf_wide_top_terms"] = (
+        f"SELECT x.doc_id, x.{C.CLASS_COL} AS class, coalesce(COLUMNS(pv.* EXCLUDE (doc_id)), 0.0) "
+        f"FROM documents x LEFT JOIN (PIVOT ({inner}) ON term USING first(tfidf) GROUP BY doc_id) pv ON pv.doc_id = x.doc_id")
     q["knn_predict"] = _with(*KNN) + "SELECT doc_id, fold, actual, predicted FROM preds"
     macro = ("SELECT class, {r} FROM prf1 UNION ALL "
              "SELECT 'Average' AS class, round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9) FROM prf1").format(
@@ -226,6 +241,29 @@ SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 9) AS accuracy,
     q["argmax_scores"] = _with(*KNN, "codes AS (SELECT class, CAST(row_number() OVER (ORDER BY class) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT class FROM d))") + \
         ("SELECT q AS doc_id, code, t_class AS predicted FROM votes JOIN codes ON codes.class = votes.t_class "
          "QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, code) = 1")
+    q["batch_score"] = _with(*KNN, "codes AS (SELECT class, CAST(row_number() OVER (ORDER BY class) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT class FROM d))",
+                             "vc AS (SELECT q, code, t_class, votes, sum(votes) OVER (PARTITION BY q) AS total FROM votes JOIN codes ON codes.class = votes.t_class)") + \
+        ("SELECT q AS doc_id, f.fold, code, t_class AS predicted, round(CAST(votes AS DOUBLE) / CAST(total AS DOUBLE), 9) AS confidence "
+         "FROM vc JOIN folds f ON f.doc_id = vc.q QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, code) = 1")
+    q["knn_query_predict"] = _with(*MODEL, *BENCH_MODEL, """binv AS (SELECT doc_id, token AS term FROM btok WHERE token IN (SELECT term FROM vocab)),
+btc AS (SELECT doc_id, term, count(*) AS n FROM binv GROUP BY 1, 2),
+btot AS (SELECT doc_id, sum(n) AS term_count FROM btc GROUP BY 1),
+bw AS (SELECT btc.doc_id, btc.term,
+        CAST(round((CAST(btc.n AS DOUBLE) / CAST(btot.term_count AS DOUBLE)) * idf.idf * 1000000.0) AS BIGINT) AS w
+    FROM btc JOIN idf ON idf.term = btc.term JOIN btot ON btot.doc_id = btc.doc_id),
+qp AS (SELECT * FROM bw WHERE w <> 0),
+tp AS (SELECT * FROM tfidf WHERE w <> 0),
+qd AS (SELECT a.doc_id AS q, b.doc_id AS t, CAST(sum(a.w * b.w) AS BIGINT) AS dot FROM qp a JOIN tp b ON a.term = b.term GROUP BY 1, 2),
+nq AS (SELECT doc_id, CAST(sum(w * w) AS BIGINT) AS nsq FROM qp GROUP BY 1),
+nt AS (SELECT doc_id, CAST(sum(w * w) AS BIGINT) AS nsq FROM tp GROUP BY 1),
+qs AS (SELECT q, t, round(CAST(dot AS DOUBLE) / (sqrt(CAST(nq.nsq AS DOUBLE)) * sqrt(CAST(nt.nsq AS DOUBLE))), 6) AS sim
+    FROM qd JOIN nq ON nq.doc_id = qd.q JOIN nt ON nt.doc_id = qd.t),
+kq AS (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) AS k FROM d),
+qc AS (SELECT b.doc_id AS q, x.doc_id AS t, coalesce(qs.sim, 0.0) AS sim FROM bd b CROSS JOIN d x LEFT JOIN qs ON qs.q = b.doc_id AND qs.t = x.doc_id),
+qnb AS (SELECT q, t, sim, CAST(row_number() OVER (PARTITION BY q ORDER BY sim DESC, t) AS INTEGER) AS rank FROM qc QUALIFY rank <= (SELECT k FROM kq)),
+qv AS (SELECT qnb.q, x.class AS t_class, count(*) AS votes FROM qnb JOIN d x ON x.doc_id = qnb.t GROUP BY 1, 2),
+qp2 AS (SELECT q, t_class AS predicted FROM qv QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, t_class) = 1)""") + \
+        "SELECT qnb.q AS doc_id, qnb.rank, qnb.t, qnb.sim, qp2.predicted FROM qnb JOIN qp2 ON qp2.q = qnb.q"
     q["dot_product_arrays"] = _with(*EMB) + "SELECT vec_id, round(dot, 6) AS dot FROM es"
     q["cosine_embeddings"] = _with(*EMB) + "SELECT vec_id, label, round(ne, 6) AS norm, round(cos, 6) AS sim FROM es"
     q["knn_embeddings"] = _with(*EMB, "ek AS (SELECT CAST(floor(sqrt(count(*) - 1)) AS BIGINT) AS k FROM e)",
