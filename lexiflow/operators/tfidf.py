@@ -276,3 +276,10 @@ def smooth_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), min_df: int
     v = counts.join(stats.select("term", "idf"), "term").withColumn("v", F.col("count").cast("double") * F.col("idf"))
     norms = v.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     return v.join(norms, "doc_id").select("doc_id", "term", "count", "idf", (F.col("v") / F.col("norm")).alias("weight"))
+
+
+def stem_terms(vocab: DataFrame, stem_map: DataFrame) -> DataFrame:
+    """Optional stemming of the vocabulary only (documents are not stemmed): replace each
+    term by its stem from a supplied (term, stem) table, keep it when it has none."""
+    m = stem_map.select("term", "stem")
+    return vocab.select("term").join(m, "term", "left").select(F.coalesce("stem", "term").alias("term")).distinct()
