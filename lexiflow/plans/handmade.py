@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from ..operators.folds import distinct_classes, stratified_folds
 from ..operators.knn import cross_validated_neighbours, k_from_size, predict
 from ..operators.metrics import macro_metrics
-from ..operators.similarity import SALT_BLOCK, all_pairs_similarity, document_postings, pair_partitions
+from ..operators.similarity import SALT_BLOCK, all_pairs_similarity, document_postings, pair_plan
 from ..session import cut_lineage
 from ..operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
 
@@ -36,8 +36,9 @@ def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_fo
     if k is None:
         k = k_from_size(docs.count())
     post = cut_lineage(document_postings(model.tfidf, folds))
-    n_part = pair_partitions(post)
-    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, partitions=n_part)
+    n_part, pack = pair_plan(post)
+    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, partitions=n_part,
+                                 pack=pack)
     has_negative = post.where("w < 0").limit(1).count() > 0
     neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint, partitions=n_part,
                                        has_negative=has_negative, n_folds=n_folds)
