@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,13 +66,32 @@ def _pairs(words: DataFrame, syms: Column) -> DataFrame:
         F.col("p.0").alias("a"), F.col("p.1").alias("b"), "freq", "first_doc", "first_pos", "i")
 
 
-def pair_counts(words: DataFrame, syms: Column | None = None) -> DataFrame:
+def pair_counts(words: DataFrame, syms: Column | None = None, packing: tuple[int, int] | None = None) -> DataFrame:
     """(a, b, cnt, first): frequency-weighted adjacent pairs; ``first`` = earliest
-    (first_doc, first_pos, i) at which the pair occurs in corpus order."""
+    (first_doc, first_pos, i) at which the pair occurs in corpus order.
+
+    ``packing`` = (pos_bits, i_bits): the three numbers fit in one long (checked by the
+    caller), so the minimum is a hash aggregate on a long instead of a sort-based
+    aggregate on a struct."""
     syms = F.col("syms") if syms is None else syms
     p = _pairs(words, syms)
-    return p.groupBy("a", "b").agg(F.sum("freq").alias("cnt"),
-                                   F.min(F.struct("first_doc", "first_pos", "i")).alias("first"))
+    if packing is None:
+        first = F.min(F.struct("first_doc", "first_pos", "i")).alias("first")
+    else:
+        pos_bits, i_bits = packing
+        first = F.min(F.shiftleft(F.shiftleft(F.col("first_doc"), pos_bits) + F.col("first_pos"), i_bits)
+                      + F.col("i")).alias("first")
+    return p.groupBy("a", "b").agg(F.sum("freq").alias("cnt"), first)
+
+
+def _packing(words: DataFrame) -> tuple[int, int] | None:
+    """Bit widths for packing (first_doc, first_pos, i) into a non-negative long, if they fit."""
+    row = words.agg(F.min("first_doc"), F.max("first_doc"), F.max("first_pos"), F.max(F.length("word"))).first()
+    if row[0] is None or row[0] < 0:
+        return None
+    doc_bits, pos_bits, i_bits = (int(row[1]).bit_length(), int(row[2]).bit_length() or 1,
+                                  (int(row[3]) + 1).bit_length())
+    return (pos_bits, i_bits) if doc_bits + pos_bits + i_bits <= 62 else None
 
 
 def _merge_symbols(syms: Column, a: str, b: str) -> Column:
@@ -104,13 +124,18 @@ def train(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", che
     else:
         cur_syms = F.col("syms")
     w = cut_lineage(w)
+    packing = _packing(w) if mode == "substring" else None
     merges: list[tuple[int, str, str, int]] = []
+    cached: list[DataFrame] = []
     for it in range(n):
-        pc = pair_counts(w, cur_syms)
+        pc = pair_counts(w, cur_syms, packing)
         if mode == "substring":
             best = pc.orderBy(F.col("cnt").desc(), F.col("first")).select("a", "b", "cnt").first()
         else:
             best = pc.orderBy(F.col("cnt").desc(), F.col("a"), F.col("b")).select("a", "b", "cnt").first()
+        # this job materialised the current table: the one before it is no longer read
+        while len(cached) > 1:
+            cached.pop(0).unpersist()
         if best is None or best["cnt"] <= 0:
             break
         a, b = best["a"], best["b"]
@@ -121,6 +146,11 @@ def train(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", che
             w = w.withColumn("syms", _merge_symbols(F.col("syms"), a, b))
         if (it + 1) % checkpoint_every == 0:
             w = cut_lineage(w)
+        else:  # the next merge reads this step once instead of replaying every step since the checkpoint
+            w = w.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(w)
+    for c in cached[:-1]:
+        c.unpersist()
     merges_df = spark.createDataFrame(merges, "rank int, a string, b string, cnt bigint")
     if mode == "substring":
         w = w.withColumn("syms", F.split(F.col("seg"), " ", -1))
