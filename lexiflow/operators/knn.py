@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import bucketed_checkpoint
 
 
 def k_from_size(n_docs: int) -> int:
@@ -124,13 +124,12 @@ def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int,
 
     sims = mirror_pairs(pairs.select("lo", "hi", "fold_lo", "fold_hi", "sim"), ("fold",), ("sim",))
     if checkpoint:
-        # partitioned by query, then checkpointed: every query's pairs sit in one partition,
-        # so the partial top-k and the partial counts that read it are already final and
-        # only k rows (resp. one row) per query are shuffled after them
+        # written once as a table bucketed by query: the per-query top-k window, the counts
+        # and the fill semi-join all read it without an exchange
         spark = sims.sparkSession
         n = max(partitions or 0, spark.sparkContext.defaultParallelism,
                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-        sims = cut_lineage(sims.repartition(n, "q"))
+        sims = bucketed_checkpoint(sims, "q", n, "lexiflow_sims")
     return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)
 
 
