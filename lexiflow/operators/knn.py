@@ -120,7 +120,7 @@ def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int,
                                n_folds: int | None = None) -> DataFrame:
     """Neighbours for every document from the unordered pair table
     (lo, hi, sim, fold_lo, fold_hi) — the pooled result of all folds in one plan."""
-    from .similarity import mirror_pairs
+    from .similarity import cell_partitioning, mirror_pairs
 
     sims = mirror_pairs(pairs.select("lo", "hi", "fold_lo", "fold_hi", "sim"), ("fold",), ("sim",))
     if checkpoint:
@@ -129,7 +129,8 @@ def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int,
         spark = sims.sparkSession
         n = max(partitions or 0, spark.sparkContext.defaultParallelism,
                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-        sims = bucketed_checkpoint(sims, "q", n, "lexiflow_sims")
+        with cell_partitioning(spark):
+            sims = bucketed_checkpoint(sims, "q", n, "lexiflow_sims")
     return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)
 
 

@@ -36,9 +36,9 @@ def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_fo
     if k is None:
         k = k_from_size(docs.count())
     post = cut_lineage(document_postings(model.tfidf, folds))
-    n_part, pack = pair_plan(post)
-    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, partitions=n_part,
-                                 pack=pack)
+    plan = pair_plan(post)
+    n_part = plan.partitions
+    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, plan=plan)
     has_negative = post.where("w < 0").limit(1).count() > 0
     neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint, partitions=n_part,
                                        has_negative=has_negative, n_folds=n_folds)

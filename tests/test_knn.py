@@ -74,3 +74,21 @@ def test_plan_has_no_cartesian_product(spark):
     plan = run.predictions._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_pair_strategies_agree(spark):
+    from lexiflow.operators import similarity as si
+    from lexiflow.operators.folds import stratified_folds
+    from lexiflow.session import cut_lineage
+
+    docs = (spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+            .select("doc_id", "text", F.col("lang").alias("class")))
+    m = fit_tfidf(docs, TfidfConfig())
+    post = cut_lineage(si.document_postings(m.tfidf, stratified_folds(docs, 10, 42)))
+    term = si.pair_dots(post, 16, exclude_equal="fold", plan=si.PairPlan(8, True, "term", 1))
+    with si.cell_partitioning(spark):
+        cells = si.pair_dots(post, exclude_equal="fold", plan=si.PairPlan(6, True, "cells", 3)).collect()
+    unpacked = si.pair_dots(post, 16, exclude_equal="fold", plan=si.PairPlan(8, False, "term", 1)).collect()
+    t = sorted(tuple(r) for r in term.collect())
+    assert t == sorted(tuple(r) for r in cells) == sorted(tuple(r) for r in unpacked)
+    assert len(t) > 1000
