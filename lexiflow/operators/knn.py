@@ -127,8 +127,9 @@ def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int,
         # written once as a table bucketed by query: the per-query top-k window, the counts
         # and the fill semi-join all read it without an exchange
         spark = sims.sparkSession
-        n = max(partitions or 0, spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        # buckets from the estimated pair count (pair_plan), not from the session's
+        # shuffle-partition setting: a small table would be spread over many empty files
+        n = max(partitions or 0, spark.sparkContext.defaultParallelism)
         with cell_partitioning(spark):
             sims = bucketed_checkpoint(sims, "q", n, "lexiflow_sims")
     return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)
