@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
 from ..functions.vectors import cosine_arrays, dot_arrays, norm_array
 from ..operators import bpe, folds as fo, knn, metrics as me, scoring, similarity as si, tfidf as tf
-from ..sources.tables import labelled_documents, read_table
+from ..sources.tables import conversation_corpus, labelled_documents, read_table
 from .handmade import knn_cross_validation
 from .library import library_knn
 
@@ -204,6 +204,11 @@ def q_macro_metrics(spark, sf):
     return _round_metrics(_run(spark, sf, docs=d).metrics)
 
 
+def q_knn_conversations(spark, sf):
+    """The flagship flow on the second corpus: conversation turns classified by role."""
+    return _round_metrics(knn_cross_validation(conversation_corpus(spark, sf), CFG, N_FOLDS, SEED).metrics)
+
+
 def _round_metrics(m: DataFrame) -> DataFrame:
     return m.select("class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 

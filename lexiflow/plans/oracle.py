@@ -228,6 +228,9 @@ lsim AS (SELECT lo, hi, round(dot, 9) AS sim FROM ldot)""", knn_ctes(sim_table="
     q["knn_cross_validate"] = _with(*METRICS) + macro
     q["macro_metrics"] = _with(LABELLED_DOCS, token_ctes(), vocab_ctes(), tfidf_ctes(), folds_ctes(), pairs_ctes(),
                                knn_ctes(), metric_ctes()) + macro
+    conv = "d AS (SELECT conv_id * 1000000 + turn AS doc_id, text, role AS class FROM conversations)"
+    q["knn_conversations"] = _with(conv, token_ctes(), vocab_ctes(), tfidf_ctes(), folds_ctes(), pairs_ctes(),
+                                   knn_ctes(), metric_ctes()) + macro
     q["confusion_matrix"] = _with(*METRICS) + "SELECT actual, predicted, n FROM cm"
     q["class_metrics"] = _with(*METRICS) + f"SELECT class, tp, fp, fn, support, {_r9('precision', 'recall', 'f1')} FROM prf1"
     q["weighted_metrics"] = _with(*METRICS) + """, wl AS (SELECT actual AS class FROM preds UNION SELECT predicted FROM preds WHERE predicted IS NOT NULL),

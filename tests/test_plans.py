@@ -24,3 +24,10 @@ def test_neighbour_top_k_is_group_limited(spark):
     plan = _plan(C.q_knn_neighbours(spark, SF))
     assert "WindowGroupLimit" in plan
     assert "CartesianProduct" not in plan
+
+
+def test_similarity_table_read_bucketed(spark):
+    """The kNN branches read the query-bucketed similarity table with its partitioning:
+    the scan is bucketed and the top-k window above it needs no shuffle of its own."""
+    plan = _plan(C.q_knn_neighbours(spark, SF))
+    assert "lexiflow_sims" in plan and "Bucketed: true" in plan
