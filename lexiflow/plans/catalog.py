@@ -13,7 +13,7 @@ from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
 from ..functions.vectors import cosine_arrays, dot_arrays, norm_array
 from ..operators import bpe, folds as fo, knn, metrics as me, scoring, similarity as si, tfidf as tf
 from ..sources.tables import conversation_corpus, labelled_documents, read_table
-from .handmade import knn_cross_validation
+from .tfidf_knn import knn_cross_validation
 from .library import library_knn
 
 # Fixed query parameters (the reference's defaults where it has them).

@@ -1,4 +1,4 @@
-"""Hand-made flow: clean → TF-IDF → stratified folds → cosine kNN → metrics.
+"""TF-IDF kNN flow: clean → TF-IDF → stratified folds → cosine kNN → metrics.
 
 All folds are predicted in one plan (fold is a column); the pair table is the only
 large intermediate and is checkpointed once, because four branches read it.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lexiflow.operators.knn import knn_neighbours, predict
 from lexiflow.operators.similarity import all_pairs_similarity, mirror_pairs
 from lexiflow.operators.tfidf import TfidfConfig, fit_tfidf
-from lexiflow.plans.handmade import knn_cross_validation
+from lexiflow.plans.tfidf_knn import knn_cross_validation
 
 DOCS = [(0, "kedi köpek kedi", "x"), (1, "kedi Kuş köpek", "x"), (2, "balık kuş deniz", "y"),
         (3, "deniz balık Balık ve", "y")]
