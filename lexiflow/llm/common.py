@@ -42,12 +42,13 @@ def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    """Columns that name a row when ``doc_id`` may be null or repeated."""
-    return [F.col(doc_id).alias("k_id"), F.xxhash64(F.col(text)).alias("k_text")]
+def row_key() -> list[Column]:
+    """Columns that name a document when ``doc_id`` may be null or repeated."""
+    return [F.col("doc_id").alias("k_id"), F.xxhash64(text_or_empty()).alias("k_text")]
 
 
 def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows named in ``rejected`` (k_id, k_text); columns unchanged."""
-    same = docs["doc_id"].eqNullSafe(rejected["k_id"]) & (F.xxhash64(docs["text"]) == rejected["k_text"])
+    """``docs`` without the documents named in ``rejected`` (k_id, k_text); columns unchanged."""
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    same = docs["doc_id"].eqNullSafe(rejected["k_id"]) & (F.xxhash64(text) == rejected["k_text"])
     return docs.join(rejected, same, "left_anti")

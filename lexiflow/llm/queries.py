@@ -7,7 +7,23 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import rules
+from . import exact_dedup, rules, urls
+
+#: Rules of the registered url query: (action, host and path).
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+    return out.select(F.col("k_id").alias("doc_id"), "keep_id", "group_size", "kept",
+                      F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = ", ".join(f"('{action}', '{rule}')" for action, rule in URL_RULES)
+    return urls.url_verdicts(read_table(spark, sf_dir, "pages"),
+                             spark.sql(f"SELECT * FROM VALUES {table} AS rules(action, rule)"))
 
 
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +33,86 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op7_url_filters": op7_url_filters,
     "op10_host_rules": op10_host_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP3 = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+_OP7 = f"""
+WITH rules(action, rule) AS (VALUES {", ".join(f"('{a}', '{r}')" for a, r in URL_RULES)}),
+parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM parts),
+urls AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
+fits AS (
+  SELECT u.*, r.rule, r.action, row_number() OVER (
+    PARTITION BY page_id, host, path ORDER BY length(r.rule) DESC, r.action = 'block' DESC) AS place
+  FROM (SELECT DISTINCT * FROM urls) u JOIN rules r
+    ON (u.host = split_part(r.rule, '/', 1) OR ends_with(u.host, '.' || split_part(r.rule, '/', 1)))
+   AND starts_with(u.path, substr(r.rule, strpos(r.rule, '/'))))
+SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.action, 'allow') AS verdict
+FROM urls u LEFT JOIN (SELECT * FROM fits WHERE place = 1) f
+  ON u.page_id IS NOT DISTINCT FROM f.page_id AND u.host = f.host AND u.path = f.path
+"""
+
+
+def _op10() -> str:
+    """Counts, then per host and soft rule the shrunk rate, all in SQL."""
+    soft = list(rules.SOFT_RULES)
+    space = r"[\x20\x09-\x0D]"
+    windows = "list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(9) || w[i + 1] || chr(9) || w[i + 2])"
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, source, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(t, '{space}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM texts),
+places AS (
+  SELECT row_no, unnest({windows}) AS word3, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) > 2),
+hits AS (SELECT row_no, i FROM (SELECT *, count(*) OVER (PARTITION BY row_no, word3) AS c FROM places) WHERE c > 1),
+covered AS (
+  SELECT row_no, count(DISTINCT i + step) AS n FROM hits, (SELECT unnest([0, 1, 2]) AS step) GROUP BY row_no),
+counts AS (
+  SELECT s.row_no, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN covered c USING (row_no)),
+judged AS (
+  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PCT} * n_words AS base_failed,
+         {", ".join(f"({rules.SOFT_RULES[r]}) AS fail_{r}" for r in soft)} FROM counts),
+hosts AS (
+  SELECT source, count(*) AS n, {", ".join(f"count(*) FILTER (fail_{r}) AS k_{r}" for r in soft)}
+  FROM judged GROUP BY source),
+total AS (
+  SELECT sum(n) AS n, count(*) AS h, {", ".join(f"sum(k_{r}) / sum(n) AS m_{r}" for r in soft)} FROM hosts),
+spread AS (
+  SELECT {", ".join(f"sum(hosts.n * (k_{r} / hosts.n - m_{r}) ** 2) / any_value(total.n) - "
+                    f"any_value(m_{r} * (1 - m_{r}) * total.h / total.n) AS v_{r}" for r in soft)} FROM hosts, total),
+prior AS (
+  SELECT total.*, {", ".join(f"CASE WHEN v_{r} <= 0 THEN 1e6 ELSE least(1e6, greatest(2.0, "
+                             f"m_{r} * (1 - m_{r}) / v_{r} - 1)) END AS s_{r}" for r in soft)} FROM total, spread),
+verdicts AS (
+  SELECT hosts.source, {", ".join(f"(k_{r} + m_{r} * s_{r}) / (hosts.n + s_{r}) >= {rules.HOST_RATE} AS strict_{r}"
+                                  for r in soft)} FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT ({" OR ".join(f"(fail_{r} AND strict_{r})" for r in soft)}) AS kept,
+       ({" OR ".join(f"(fail_{r} AND strict_{r})" for r in soft)}) AS soft_failed
+FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": _OP3,
+    "op7_url_filters": _OP7,
+    "op10_host_rules": _op10(),
+}
