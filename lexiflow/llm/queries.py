@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import exact_dedup, rules, urls
+from . import exact_dedup, minhash, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -26,6 +26,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
                              spark.sql(f"SELECT * FROM VALUES {table} AS rules(action, rule)"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return out.select(F.col("k_id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.host_rules(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("k_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -35,6 +40,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op7_url_filters": op7_url_filters,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op10_host_rules": op10_host_rules,
 }
 
