@@ -7,19 +7,42 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import exact_dedup, minhash, rules, urls
+from . import bpe, exact_dedup, minhash, packing, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/"))
 
 
+#: Rank file of the registered token queries; the split pattern comes with it.
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def _vocabulary(name: str = RANK_FILE) -> tuple[dict[bytes, int], str]:
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = _vocabulary()
+    ids = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern)
+    ids = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                     F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(ids, ranks, pattern).select("doc_id", "n_tokens", "ids_sha256",
+                                                  F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("k_id").alias("doc_id"), "keep_id", "group_size", "kept",
                       F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), *_vocabulary())
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = ", ".join(f"('{action}', '{rule}')" for action, rule in URL_RULES)
     return urls.url_verdicts(read_table(spark, sf_dir, "pages"),
@@ -38,7 +61,9 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filters": op7_url_filters,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_host_rules": op10_host_rules,
