@@ -187,7 +187,8 @@ def _across(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int)
     # of an item's components the largest one meets the others, not itself
     sizes = heads.groupBy("item", "part").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("item").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("m")).where("parts > 1")
-    heads = stored(heads.join(main.select("item", F.col("m.part").alias("main")), "item"), "open-prefixes")
+    main = stored(main.select("item", F.col("m.part").alias("main")), "main-parts")
+    heads = stored(heads.join(main, "item"), "open-prefixes")
     x, y = heads.where("part <> main").alias("x"), heads.alias("y")
     left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     enough = (100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import bpe, exact_dedup, minhash, packing, rules, urls
+from . import bpe, exact_dedup, minhash, packing, pii, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -33,6 +33,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(read_table(spark, sf_dir, "documents"))
+    written = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(F.col("k_id").alias("doc_id"), *counts, F.sha2(written(base), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("k_id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -62,6 +73,7 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_pii_crf": op2_pii_crf,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filters": op7_url_filters,
