@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import bpe, exact_dedup, minhash, packing, pii, rules, urls
+from . import bpe, exact_dedup, langid, licenses, minhash, packing, pii, quality, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -50,6 +50,22 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op4_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select(F.col("k_id").alias("doc_id"), "host", "path", "p_doc", "p_host", "p_path", "quality", "kept")
+
+
+def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda p: p["word"])
+    names = lambda *lists: F.array_join(F.array_sort(F.array_distinct(F.concat(*lists))), ",")
+    base, other = F.transform("places", lambda p: p["label"]), F.transform("matches", lambda m: m["label"])
+    share = F.array_max(F.transform("matches", lambda m: m["literal"] / m["words"]))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(words).alias("first_word"),
+                        F.array_max(words).alias("last_word"), names(base).alias("base_labels"), names(base, other).alias("labels"),
+                        F.coalesce(share, F.when(F.size("places") > 0, 0.5).otherwise(0.0)).alias("score"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), *_vocabulary())
 
@@ -65,6 +81,13 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("k_id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op9_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(langid.language_counts(docs, ~langid.held_out()))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(langid.held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.host_rules(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("k_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -75,9 +98,12 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii_crf": op2_pii_crf,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality_bayes": op4_quality_bayes,
+    "op5_license_templates": op5_license_templates,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_url_filters": op7_url_filters,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_language_codes": op9_language_codes,
     "op10_host_rules": op10_host_rules,
 }
 

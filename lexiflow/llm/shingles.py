@@ -19,7 +19,7 @@ _BYTE = np.arange(256, dtype=np.uint8)
 _LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
 _IS_WORD = ~((_BYTE == 0x20) | ((_BYTE >= 0x09) & (_BYTE <= 0x0D)))
 _VALUE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_VALUE = np.where(_IS_WORD, _VALUE[_LOWER], np.uint64(0)).astype(np.uint64)
+_VALUE = _VALUE[_LOWER]
 _BASE = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2**64
 _INVERSE = pow(_BASE, -1, 2**64)
 _PLACE = np.random.default_rng(7).integers(1, 2**63, 8, dtype=np.uint64) | np.uint64(1)
@@ -67,14 +67,22 @@ def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts and the number of words of each."""
+def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """Row ranges of about CHUNK_BYTES bytes with their texts as strings; nulls are empty."""
+    _, offsets = utf8_buffers(column)
+    for lo, hi in chunks(offsets):
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts (runs of bytes of the class ``is_word``, A-Z
+    lower-cased) and the number of words of each."""
     n_docs = len(offsets) - 1
     part = raw[offsets[0]:offsets[-1]]
     if not len(part):
         return np.zeros(0, np.uint64), np.zeros(n_docs, np.int64)
     at = offsets - offsets[0]
-    word = _IS_WORD[part]
+    word = is_word[part]
     first = word.copy()
     first[1:] &= ~word[:-1]
     begins = at[:-1][at[:-1] < at[1:]]
@@ -83,7 +91,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(n_docs, np.int64)
     up, down = _POWERS.upto(len(part))
-    sums = np.add.reduceat(_VALUE[part] * up, starts)
+    sums = np.add.reduceat(np.where(word, _VALUE[part] * up, np.uint64(0)), starts)
     counts = np.diff(np.searchsorted(starts, at))
     return mix(sums * down[starts]), counts
 
