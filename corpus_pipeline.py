@@ -1,10 +1,17 @@
-"""Pipeline over ``documents``: every stage is (name, function) with function(spark, docs, sf_dir)."""
+"""Pipeline over ``documents``: every stage is (name, function) with function(spark, docs, sf_dir).
+
+The columns of ``documents`` pass through all stages but the last, which returns the packed
+pieces. Defined cases (nulls, empty texts, repeated rows, empty tables, further columns) are
+those of the operators: a null text is a document without words and fails the quality
+rules; rows that repeat a document end as one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiflow.llm import rules
+from lexiflow.llm import bpe, exact_dedup, minhash, packing, pii, rules
 from lexiflow.llm.common import drop_rows, stored
 from lexiflow.sources.tables import read_table
 
@@ -14,10 +21,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_rows(docs, stored(rules.host_rules(docs).where("NOT kept").select("k_id", "k_text"), "rejected"))
 
 
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of equal texts."""
+    return exact_dedup.keep_one(docs, exact_dedup.exact_dedup(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every component of near copies: the one with the smallest doc_id."""
+    return drop_rows(docs, stored(minhash.near_duplicates(docs).where("NOT kept").select("k_id", "k_text"), "near-copies"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts replaced by its kind."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(docs, ranks, public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("exact_duplicates", exact_duplicates),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", packed),
 ]
-#: The stages train models and pack greedily, which SQL can't express; the tests use brute force.
+#: The stages train a model, merge components and pack by best fit, which SQL can't express; the tests use brute force.
 ORACLE_SQL = None
 
 
