@@ -12,9 +12,9 @@ Two merge rules:
   the pair seen first in corpus order.
 * ``symbol`` — whole-symbol equality, left to right; ties go to the smallest pair.
 
-One merge = one aggregation job over the word table plus a one-row result on the
-driver (the chosen pair); the word table is checkpointed every few merges so the
-lineage does not grow with the number of merges.
+One merge = one aggregation job over the word table, or two where equal counts have to be
+told apart, with a one-row result on the driver (the chosen pair); the word table is
+checkpointed every few merges so the lineage does not grow with the number of merges.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .ranking import prefix_rank
+from .ranking import range_rank
 
 
 def word_table(tokens: DataFrame) -> DataFrame:
@@ -66,32 +66,26 @@ def _pairs(words: DataFrame, syms: Column) -> DataFrame:
         F.col("p.0").alias("a"), F.col("p.1").alias("b"), "freq", "first_doc", "first_pos", "i")
 
 
-def pair_counts(words: DataFrame, syms: Column | None = None, packing: tuple[int, int] | None = None) -> DataFrame:
-    """(a, b, cnt, first): frequency-weighted adjacent pairs; ``first`` = earliest
-    (first_doc, first_pos, i) at which the pair occurs in corpus order.
-
-    ``packing`` = (pos_bits, i_bits): the three numbers fit in one long (checked by the
-    caller), so the minimum is a hash aggregate on a long instead of a sort-based
-    aggregate on a struct."""
-    syms = F.col("syms") if syms is None else syms
-    p = _pairs(words, syms)
-    if packing is None:
-        first = F.min(F.struct("first_doc", "first_pos", "i")).alias("first")
-    else:
-        pos_bits, i_bits = packing
-        first = F.min(F.shiftleft(F.shiftleft(F.col("first_doc"), pos_bits) + F.col("first_pos"), i_bits)
-                      + F.col("i")).alias("first")
-    return p.groupBy("a", "b").agg(F.sum("freq").alias("cnt"), first)
+def pair_counts(words: DataFrame, syms: Column | None = None) -> DataFrame:
+    """(a, b, cnt): frequency-weighted adjacent pairs."""
+    return _pairs(words, F.col("syms") if syms is None else syms).groupBy("a", "b").agg(F.sum("freq").alias("cnt"))
 
 
-def _packing(words: DataFrame) -> tuple[int, int] | None:
-    """Bit widths for packing (first_doc, first_pos, i) into a non-negative long, if they fit."""
-    row = words.agg(F.min("first_doc"), F.max("first_doc"), F.max("first_pos"), F.max(F.length("word"))).first()
-    if row[0] is None or row[0] < 0:
+def best_pair(words: DataFrame, syms: Column, first_seen: bool) -> tuple[str, str, int] | None:
+    """The pair with the largest count: of equal counts the one seen first in corpus order, or the
+    smallest. One aggregation job; a second one only where first-seen pairs have to be told
+    apart."""
+    counts = pair_counts(words, syms)
+    top = (counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("ties"), F.min(F.struct("a", "b")).alias("p"))
+           .orderBy(F.col("cnt").desc()).first())
+    if top is None or top["cnt"] <= 0:
         return None
-    doc_bits, pos_bits, i_bits = (int(row[1]).bit_length(), int(row[2]).bit_length() or 1,
-                                  (int(row[3]) + 1).bit_length())
-    return (pos_bits, i_bits) if doc_bits + pos_bits + i_bits <= 62 else None
+    pair = top["p"]
+    if first_seen and top["ties"] > 1:
+        tied = counts.where(F.col("cnt") == top["cnt"]).select("a", "b")
+        pair = (_pairs(words, syms).join(tied, ["a", "b"], "left_semi")
+                .orderBy("first_doc", "first_pos", "i").select("a", "b").first())
+    return pair["a"], pair["b"], int(top["cnt"])
 
 
 def _merge_symbols(syms: Column, a: str, b: str) -> Column:
@@ -124,22 +118,17 @@ def train(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", che
     else:
         cur_syms = F.col("syms")
     w = cut_lineage(w)
-    packing = _packing(w) if mode == "substring" else None
     merges: list[tuple[int, str, str, int]] = []
     cached: list[DataFrame] = []
     for it in range(n):
-        pc = pair_counts(w, cur_syms, packing)
-        if mode == "substring":
-            best = pc.orderBy(F.col("cnt").desc(), F.col("first")).select("a", "b", "cnt").first()
-        else:
-            best = pc.orderBy(F.col("cnt").desc(), F.col("a"), F.col("b")).select("a", "b", "cnt").first()
+        best = best_pair(w, cur_syms, first_seen=mode == "substring")
         # this job materialised the current table: the one before it is no longer read
         while len(cached) > 1:
             cached.pop(0).unpersist()
-        if best is None or best["cnt"] <= 0:
+        if best is None:
             break
-        a, b = best["a"], best["b"]
-        merges.append((it, a, b, int(best["cnt"])))
+        a, b, cnt = best
+        merges.append((it, a, b, cnt))
         if mode == "substring":
             w = w.withColumn("seg", F.replace(F.col("seg"), F.lit(f"{a} {b}"), F.lit(a + b)))
         else:
@@ -167,15 +156,24 @@ def _vocabulary(init_vocab: DataFrame, merges: DataFrame, mode: str) -> DataFram
     new = new.join(init_vocab.withColumnRenamed("symbol", "token"), "token", "left_anti")
     if mode == "symbol":
         allv = init_vocab.withColumnRenamed("symbol", "token").unionByName(new.select("token")).where("token != ''")
-        ranked = prefix_rank(allv.withColumn("_g", F.lit(0)), ["_g"], "token", "token", out="position")
-        return ranked.select("position", "token")
-    base = prefix_rank(init_vocab.withColumn("_g", F.lit(0)), ["_g"], "symbol", "symbol", out="position")
+        return range_rank(allv, "token", "position").select("position", "token")
+    base = range_rank(init_vocab, "symbol", "position")
     n0 = init_vocab.select(F.count(F.lit(1))).scalar()
-    from pyspark.sql import Window
-    extra = new.withColumn("position", n0 + F.row_number().over(Window.orderBy("rank")) - 1)
+    extra = new.withColumn("position", n0 + F.row_number().over(Window.orderBy("rank")) - 1)  # one row per merge
     return base.select("position", F.col("symbol").alias("token")).unionByName(extra.select("position", "token"))
 
 
+def segmented_words(words: DataFrame) -> DataFrame:
+    """(word, freq, seg): the segmented corpus without duplicates."""
+    return words.select("word", "freq", "seg")
+
+
+def segmented_corpus(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc_id, pos, seg): every corpus word in its place, segmented."""
+    return (tokens.select("doc_id", "pos", F.lower("token").alias("word")).join(words.select("word", "seg"), "word")
+            .select("doc_id", "pos", "seg"))
+
+
 def full_words(words: DataFrame, eow: str = "_") -> DataFrame:
     """(term): words merged into one symbol, with a one-character end token stripped —
     the only segmented words that can equal a document token."""

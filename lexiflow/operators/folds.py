@@ -5,7 +5,8 @@ K-fold with shuffling): classes ordered by first appearance (smallest doc id), t
 rows of class c take positions offset(c) .. offset(c)+n(c)-1 of that order, a row's
 position inside its class is its rank by a seeded md5 hash, and the fold is
 position mod K. The member lists of the library's own random generator are not
-reproduced (its seed drives a different generator).
+reproduced (its seed drives a different generator). Documents without a class are a class
+of their own. Windows without a partition run over one row per class.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import hash_rank, seeded_hash
+from .knn import first_k
+from .ranking import prefix_rank, seeded_hash
 
 
 def class_table(docs: DataFrame, class_col: str = "class", id_col: str = "doc_id") -> DataFrame:
@@ -30,9 +32,9 @@ def stratified_folds(docs: DataFrame, k: int = 10, seed: int = 42, class_col: st
     """(doc_id, class, fold)."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(class_col).alias("class"))
     base = base.withColumn("_h", seeded_hash("doc_id", seed))
-    ranked = hash_rank(base, ["class"], "_h", "doc_id", out="_rn")
-    offs = class_table(base, "class", "doc_id").select("class", "offset")
-    return (ranked.join(offs, "class")
+    ranked = prefix_rank(base, ["class"], "_h", "doc_id", out="_rn")
+    offs = class_table(base, "class", "doc_id").select(F.col("class").alias("_class"), "offset")
+    return (ranked.join(offs, F.col("class").eqNullSafe(F.col("_class")))
             .select("doc_id", "class", ((F.col("offset") + F.col("_rn")) % F.lit(k)).cast("int").alias("fold")))
 
 
@@ -68,13 +70,13 @@ def quota_folds(docs: DataFrame, k: int = 10, seed: int = 42, class_col: str = "
     from fold 0 in the same hash order over all classes."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(class_col).alias("class"))
     base = base.withColumn("_h", seeded_hash("doc_id", seed))
-    ranked = hash_rank(base, ["class"], "_h", "doc_id", out="_rn")
-    q = fold_quotas(base, k, "class").select("class", "quota")
-    r = ranked.join(q, "class")
+    ranked = prefix_rank(base, ["class"], "_h", "doc_id", out="_rn")
+    q = fold_quotas(base, k, "class").select(F.col("class").alias("_class"), "quota")
+    r = ranked.join(q, F.col("class").eqNullSafe(F.col("_class"))).drop("_class")
     in_quota = (F.col("quota") > 0) & (F.col("_rn") < F.col("quota") * F.lit(k))
     placed = r.where(in_quota).select("doc_id", "class", (F.col("_rn") / F.col("quota")).cast("int").alias("fold"))
     left = r.where(~in_quota).select("doc_id", "class", "_h").withColumn("_g", F.lit(0))
-    dealt = hash_rank(left, ["_g"], "_h", "doc_id", out="_lr").select(
+    dealt = prefix_rank(left, ["_g"], "_h", "doc_id", out="_lr").select(
         "doc_id", "class", (F.col("_lr") % F.lit(k)).cast("int").alias("fold"))
     return placed.unionByName(dealt)
 
@@ -90,9 +92,8 @@ def train_test_split(folds: DataFrame, k: int) -> DataFrame:
 
 def drop_first_n_per_class(docs: DataFrame, n: int = 40, class_col: str = "class", id_col: str = "doc_id") -> DataFrame:
     """Rows left after removing the first ``n`` documents (by id) of every class.
-    The first-n table is a bounded top-n (partial limit before the shuffle)."""
-    w = Window.partitionBy(class_col).orderBy(id_col)
-    first = docs.select(id_col, class_col).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    The first-n table is a bounded top-n for any n."""
+    first = first_k(docs.select(id_col, class_col), [class_col], n, [F.col(id_col)], F.col(id_col))
     return docs.join(first.select(id_col), id_col, "left_anti")
 
 

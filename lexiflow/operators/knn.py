@@ -1,27 +1,31 @@
-"""k-nearest-neighbour classification over sparse similarities, with exact zero fill.
+"""k-nearest-neighbour classification over sparse similarities.
 
 Candidates of a query are all documents of the other folds; neighbours are ranked by
 (similarity desc, fold, doc_id) — the train order of the reference (folds in order,
 rows in index order) under a stable sort — and the label vote takes the most
-frequent class, ties to the smallest label.
-
-Documents that share no term with the query have similarity 0 and are candidates
-too. They are never materialised as pairs. Let a query have p positive and m
-negative non-zero similarities. If p < k, the first k+m candidates in train order
-hold at least k−p zero-similarity documents (at most p+m of them are non-zero), so
-only those k+m are generated — by an equi-join with the first rows of every fold —
-and the non-zero ones are removed with an anti-join. Everything stays bounded by
-k+m rows per query; no pair table of all documents is ever built.
+frequent class, ties to the smallest label. Documents that share no term with the query
+have similarity 0 and are candidates too.
+
+``cross_validated_neighbours`` and ``predict_texts`` reduce to the k best inside document
+cells (``cells.top_k``), zero similarities included. ``knn_neighbours`` takes any table of
+non-zero similarities instead. There, zero-similarity candidates are never materialised
+as pairs: let a query have p positive and m negative non-zero similarities. If p < k, the
+first k+m candidates in train order hold at least k−p zero-similarity documents (at most
+p+m of them are non-zero), so only those k+m are generated — by an equi-join with the
+first rows of every fold — and the non-zero ones are removed with an anti-join.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bucketed_checkpoint
+from ..session import stored
+from ..sources.corpus import require_columns
+from . import cells
 
 
 def k_from_size(n_docs: int) -> int:
@@ -29,9 +33,21 @@ def k_from_size(n_docs: int) -> int:
     return max(1, int(math.isqrt(int(n_docs))))
 
 
+PARTS = 64  # parts of a group ranked side by side before they are merged
+
+
+def first_k(df: DataFrame, by: Sequence[str], k: int, order: list[Column], part: Column) -> DataFrame:
+    """The first ``k`` rows of every group, with their place ``_r`` from 1. Each group is ranked in
+    PARTS hashed parts, and only k rows of a part meet, whatever k is."""
+    parts = F.pmod(F.xxhash64(part), F.lit(PARTS))
+    inner = Window.partitionBy(*by, "_part").orderBy(*order)
+    cut = df.withColumn("_part", parts).withColumn("_r", F.row_number().over(inner)).where(F.col("_r") <= k)
+    return (cut.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+            .where(F.col("_r") <= k).drop("_part"))
+
+
 def _top(df: DataFrame, k: int, order: list) -> DataFrame:
-    w = Window.partitionBy("q").orderBy(*order)
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
+    return first_k(df, ["q"], k, order, F.col("t")).drop("_r")
 
 
 def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative: bool | None = None,
@@ -60,11 +76,9 @@ def knn_neighbours(sims: DataFrame, docs_folds: DataFrame, k: int, has_negative:
         max_m = 0
     head_len = k + int(max_m)
 
-    # first head_len documents of every fold, by id (bounded top-n per fold)
-    heads = (docs_folds.select(F.col("doc_id").alias("t"), F.col("fold").alias("g"))
-             .withColumn("_rn", F.row_number().over(Window.partitionBy("g").orderBy("t")))
-             .where(F.col("_rn") <= head_len)
-             .select("t", "g", (F.col("_rn") - 1).alias("r")))
+    # first head_len documents of every fold, by id
+    rows = docs_folds.select(F.col("doc_id").alias("t"), F.col("fold").alias("g"))
+    heads = first_k(rows, ["g"], head_len, [F.col("t")], F.col("t")).select("t", "g", (F.col("_r") - 1).alias("r"))
     sizes = docs_folds.groupBy(F.col("fold").alias("g")).agg(F.count(F.lit(1)).alias("size_g"))
     sizes = sizes.withColumn("before_g", F.coalesce(
         F.sum("size_g").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -115,39 +129,60 @@ def predict(neighbours: DataFrame, docs_folds: DataFrame) -> DataFrame:
             .select("doc_id", "fold", F.col("class").alias("actual"), "predicted"))
 
 
-def cross_validated_neighbours(pairs: DataFrame, docs_folds: DataFrame, k: int, checkpoint: bool = True,
-                               partitions: int | None = None, has_negative: bool | None = None,
-                               n_folds: int | None = None) -> DataFrame:
-    """Neighbours for every document from the unordered pair table
-    (lo, hi, sim, fold_lo, fold_hi) — the pooled result of all folds in one plan."""
-    from .similarity import cell_partitioning, mirror_pairs
+def cross_validated_neighbours(weights: DataFrame, folds: DataFrame, k: int, measure: cells.Measure = cells.cosine_measure,
+                               digits: int = 6, weight: str = "w") -> DataFrame:
+    """Neighbours of every document of ``folds`` (doc_id, fold) among the documents of the other
+    folds — the pooled result of all folds in one plan."""
+    vectors = stored(cells.document_vectors(weights, folds, weight), "vectors")
+    return cells.top_k(vectors, vectors, k, measure, digits)
+
+
+def predict_vectors(queries: DataFrame, train: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """Neighbours and votes of query vectors among train vectors (both doc_id, terms, weights):
+    (doc_id, rank, t, sim, predicted), ties to train order (doc id)."""
+    found = stored(cells.top_k(queries.withColumn("fold", F.lit(0)), train.withColumn("fold", F.lit(1)), k), "neighbours")
+    votes = vote(found, classes)
+    return found.join(votes, "q").select(F.col("q").alias("doc_id"), "rank", "t", "sim", "predicted")
+
 
-    sims = mirror_pairs(pairs.select("lo", "hi", "fold_lo", "fold_hi", "sim"), ("fold",), ("sim",))
-    if checkpoint:
-        # written once as a table bucketed by query: the per-query top-k window, the counts
-        # and the fill semi-join all read it without an exchange
-        spark = sims.sparkSession
-        # buckets from the estimated pair count (pair_plan), not from the session's
-        # shuffle-partition setting: a small table would be spread over many empty files
-        n = max(partitions or 0, spark.sparkContext.defaultParallelism)
-        with cell_partitioning(spark):
-            sims = bucketed_checkpoint(sims, "q", n, "lexiflow_sims")
-    return knn_neighbours(sims, docs_folds.select("doc_id", "fold"), k, has_negative, n_folds)
+def train_vectors(weights: DataFrame, train: DataFrame, weight: str = "w") -> DataFrame:
+    """Vectors of a train set, as a stored table that later predictions read."""
+    return stored(cells.document_vectors(weights, train.select("doc_id", F.lit(1).alias("fold")), weight), "train-vectors")
 
 
-def predict_texts(texts: DataFrame, model, train: DataFrame, k: int, cfg=None) -> DataFrame:
+def predict_texts(texts: DataFrame, model, train: DataFrame, k: int, cfg=None, vectors: DataFrame | None = None) -> DataFrame:
     """Classify new texts (doc_id, text) against a labelled train set (doc_id, class) under a
     fitted TF-IDF ``model``: (doc_id, rank, t, sim, predicted) — one query × all train
-    documents, ties to train order (doc id), zero-similarity documents included."""
-    from .similarity import query_similarity
+    documents, zero-similarity documents included. ``vectors``: of ``train_vectors``."""
     from .tfidf import TfidfConfig, transform_texts
 
-    cfg = cfg or TfidfConfig()
-    qv = transform_texts(texts, model, cfg)
-    sims = (query_similarity(qv, model.tfidf)
-            .select("q", "t", F.lit(0).alias("fold_q"), F.lit(1).alias("fold_t"), "sim"))
-    train_f = train.select("doc_id", F.lit(1).alias("fold"))
-    q_f = texts.select("doc_id", F.lit(0).alias("fold"))
-    nb = knn_neighbours(sims, train_f.unionByName(q_f), k, has_negative=None, n_folds=2, queries=q_f)
-    pred = vote(nb, train.select("doc_id", "class"))
-    return (nb.join(pred, "q").select(F.col("q").alias("doc_id"), "rank", "t", "sim", "predicted"))
+    weights = transform_texts(texts, model, cfg or TfidfConfig())
+    queries = cells.document_vectors(weights, texts.select("doc_id", F.lit(0).alias("fold")))
+    vectors = train_vectors(model.tfidf, train) if vectors is None else vectors
+    return predict_vectors(queries, vectors, train.select("doc_id", "class"), k)
+
+
+class KnnClassifier:
+    """``fit`` a TF-IDF kNN classifier on (doc_id, text, class), ``predict`` new (doc_id, text)."""
+
+    def __init__(self, k: int | None = None, cfg=None) -> None:
+        self.k, self.cfg = k, cfg
+
+    def fit(self, docs: DataFrame) -> KnnClassifier:
+        from .tfidf import TfidfConfig, fit_tfidf
+
+        require_columns(docs, ["doc_id", "text", "class"], "training documents")
+        self.cfg = self.cfg or TfidfConfig()
+        self.model = fit_tfidf(docs, self.cfg)
+        self.k = self.k or k_from_size(docs.count())
+        self.train = docs.select("doc_id", "class")
+        self.vectors = train_vectors(self.model.tfidf, self.train)
+        return self
+
+    def neighbours(self, texts: DataFrame) -> DataFrame:
+        require_columns(texts, ["doc_id", "text"], "texts")
+        return predict_texts(texts, self.model, self.train, self.k, self.cfg, self.vectors)
+
+    def predict(self, texts: DataFrame) -> DataFrame:
+        """(doc_id, predicted)."""
+        return self.neighbours(texts).where("rank = 1").select("doc_id", "predicted")

@@ -1,9 +1,9 @@
 """Vocabulary and TF-IDF in long (sparse) form.
 
 Every function maps DataFrames to DataFrames. Scalars that depend on the data
-(number of documents) enter the plan as scalar subqueries. ``fit_tfidf`` runs one
-job: the per-(document, token) count table is checkpointed, since the vocabulary,
-the frequencies and the weights are all read from it.
+(number of documents) enter the plan as scalar subqueries. ``fit_tfidf`` stores the
+per-(document, token) count table and the distinct tokens, from which the vocabulary,
+the frequencies and the weights are read.
 
 Rules kept from the reference (see README, "Semantics"):
 * the vocabulary is built from lower-cased tokens, but document tokens are matched
@@ -20,10 +20,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
+from ..sources.corpus import require_columns
 from ..functions.text import (
     DEFAULT_STOP_WORDS,
     kept_words,
@@ -64,17 +65,10 @@ def document_count(docs: DataFrame) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows of an input too small to be split into one scan partition per
-    core (few files or row groups): tokenising is CPU-bound. The size is the optimizer's
-    estimate (no job); a big input is left as it is, its scan is already wide."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    try:
-        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: leave the input as it is
-        return df
-    return df.repartition(par) if size < split * par else df
+    """Deal the rows of an input with fewer scan partitions than cores to all cores: tokenising is
+    CPU-bound. An input that is scanned by enough tasks is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def corpus_tokens(docs: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
@@ -175,16 +169,19 @@ def weight_column(n: Column, term_count: Column, idf: Column) -> Column:
     return F.round((n.cast("double") / term_count.cast("double")) * idf * F.lit(float(WEIGHT_SCALE)), 0).cast("bigint")
 
 
-def tfidf_from_parts(counts: DataFrame, totals: DataFrame, idf: DataFrame) -> DataFrame:
-    """(doc_id, term, n, term_count, tf, w, tfidf) for every (document, kept term) present."""
-    t = counts.join(idf.select("term", "idf"), "term").join(totals.where("term_count > 0"), "doc_id")
-    return t.select(
+def _weights(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "doc_id", "term", "n", "term_count",
         (F.col("n").cast("double") / F.col("term_count").cast("double")).alias("tf"),
         weight_column(F.col("n"), F.col("term_count"), F.col("idf")).alias("w"),
     ).withColumn("tfidf", F.col("w") / F.lit(float(WEIGHT_SCALE)))
 
 
+def tfidf_from_parts(counts: DataFrame, totals: DataFrame, idf: DataFrame) -> DataFrame:
+    """(doc_id, term, n, term_count, tf, w, tfidf) for every (document, kept term) present."""
+    return _weights(counts.join(idf.select("term", "idf"), "term").join(totals.where("term_count > 0"), "doc_id"))
+
+
 class TfidfModel(NamedTuple):
     tokens: DataFrame
     doc_tokens: DataFrame
@@ -199,34 +196,49 @@ class TfidfModel(NamedTuple):
 
 
 def fit_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), vocab: DataFrame | None = None,
-              materialize: bool = True) -> TfidfModel:
+              materialize: bool = True, stems: DataFrame | None = None) -> TfidfModel:
     """Whole TF-IDF plan over ``docs(doc_id, text)``.
 
     ``vocab`` replaces the word-tokenizer vocabulary (e.g. a stored vocabulary, a union
-    of vocabularies, or the fully merged words of a byte-pair encoding)."""
+    of vocabularies, or the fully merged words of a byte-pair encoding); ``stems`` (term,
+    stem) replaces its terms by their stems.
+
+    Two tables are written: (document, token, n), which every branch reads, and the distinct
+    tokens with their totals. Vocabulary, frequencies and idf are worked out on the distinct
+    tokens; the document table is joined once with the tokens that are in the vocabulary."""
+    require_columns(docs, [cfg.id_col, cfg.text_col], "documents")
+    if cfg.freq not in ("collection", "document"):
+        raise ValueError(f"freq must be 'collection' or 'document', not {cfg.freq!r}")
     tokens = corpus_tokens(docs, cfg)
-    # tokenising is the costly scan and four branches need it: aggregate per
-    # (document, token) once and materialise that table
-    dt = cut_lineage(document_tokens(tokens)) if materialize else document_tokens(tokens)
-    vocab = vocabulary(dt, cfg) if vocab is None else vocab.select("term").distinct()
+    keep = stored if materialize else (lambda df, _: df)
+    dt = keep(document_tokens(tokens), "document-tokens")
+    distinct = keep(dt.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df")), "distinct-tokens")
+    vocab = vocabulary(distinct, cfg) if vocab is None else vocab.select("term").distinct()
+    vocab = keep(vocab if stems is None else stem_terms(vocab, stems), "vocabulary")
+    n_docs = document_count(docs)
+    lower = cfg.match_case == "lower"
+    tok = F.lower("token") if lower else F.col("token")
     inv = in_vocab_tokens(tokens, vocab, cfg)
-    tok = F.lower("token") if cfg.match_case == "lower" else F.col("token")
-    counts = dt.select("doc_id", tok.alias("term"), "n").join(vocab.select("term"), "term", "left_semi")
-    if cfg.match_case == "lower":  # distinct raw tokens may lower to the same term
+    counts = dt.select("doc_id", tok.alias("term"), "n").join(vocab, "term", "left_semi")
+    if lower:  # distinct raw tokens may lower to the same term
         counts = counts.groupBy("doc_id", "term").agg(F.sum("n").alias("n"))
     totals = doc_term_totals(docs, counts, cfg)
-    n_docs = document_count(docs)
     if cfg.freq == "collection":
-        low = dt.select(F.lower("token").alias("term"), "n").join(vocab.select("term"), "term", "left_semi")
+        low = distinct.select(F.lower("token").alias("term"), "n").join(vocab, "term", "left_semi")
         freqs, col = low.groupBy("term").agg(F.sum("n").alias("cf")), "cf"
-    elif cfg.freq == "document":
+    elif lower:
         freqs, col = document_frequency(counts), "df"
     else:
-        raise ValueError(f"freq must be 'collection' or 'document', not {cfg.freq!r}")
-    kept = frequency_filter(freqs, n_docs, cfg.min_df, cfg.max_df, col)
-    idf = idf_table(kept, n_docs, col)
-    tfidf = tfidf_from_parts(counts, totals, idf)
-    return TfidfModel(tokens, dt, vocab, inv, counts, totals, freqs, idf, tfidf, n_docs)
+        freqs, col = distinct.select(F.col("token").alias("term"), "df").join(vocab, "term", "left_semi"), "df"
+    idf = idf_table(frequency_filter(freqs, n_docs, cfg.min_df, cfg.max_df, col), n_docs, col)
+    # one join with the document table: vocabulary terms, with their idf where they pass the filter
+    known = vocab.join(idf.select(F.col("term").alias("_term"), "idf"), F.col("term") == F.col("_term"), "left").select("term", "idf")
+    terms = dt.select("doc_id", tok.alias("term"), "n")
+    if lower:
+        terms = terms.groupBy("doc_id", "term").agg(F.sum("n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("doc_id"))  # as long as a document
+    weighted = terms.join(known, "term").withColumn("term_count", total).where("idf IS NOT NULL")
+    return TfidfModel(tokens, dt, vocab, inv, counts, totals, freqs, idf, _weights(weighted), n_docs)
 
 
 def transform_texts(texts: DataFrame, model: TfidfModel, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
@@ -251,6 +263,18 @@ def tfidf_wide(tfidf: DataFrame, docs: DataFrame, terms: list[str], cfg: TfidfCo
     return out.select(*cols)
 
 
+def tfidf_wide_top(model: TfidfModel, docs: DataFrame, n: int, class_col: str | None = None) -> DataFrame:
+    """Dense view of the ``n`` most frequent terms without knowing them beforehand: columns
+    t1..tn by rank (frequency, then term), 0 where absent. The schema is fixed."""
+    top = model.idf.orderBy(F.col("cf").desc(), F.col("term")).limit(n)
+    top = top.withColumn("place", F.row_number().over(Window.orderBy(F.col("cf").desc(), F.col("term"))))  # n rows
+    cells = model.tfidf.join(top.select("term", "place"), "term")
+    wide = cells.groupBy("doc_id").agg(*(F.sum(F.when(F.col("place") == i, F.col("tfidf")).otherwise(0.0)).alias(f"t{i}")
+                                         for i in range(1, n + 1)))
+    ids = docs.select("doc_id", *([F.col(class_col).alias("class")] if class_col else []))
+    return ids.join(wide, "doc_id", "left").fillna(0.0, subset=[f"t{i}" for i in range(1, n + 1)])
+
+
 # ---------------------------------------------------------------------------
 # Library-style TF-IDF: lower-case, words of ≥ 2 word characters, raw counts,
 # smooth idf = ln((1 + N) / (1 + df)) + 1, L2-normalised rows.
@@ -264,7 +288,7 @@ def smooth_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), min_df: int
     """(doc_id, term, count, idf, weight) over the cleaned text of each document."""
     clean = sanitized_documents(docs, cfg)
     toks = clean.select("doc_id", F.explode(F.regexp_extract_all(F.lower("clean_text"), F.lit(WORD2_PATTERN), 0)).alias("term"))
-    counts = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count"))
+    counts = stored(toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count")), "word-counts")
     n_docs = document_count(docs)
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("total"))
     stats = stats.where((F.col("df").cast("double") >= _bound(min_df, n_docs)) &
@@ -274,8 +298,8 @@ def smooth_tfidf(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), min_df: int
         stats = stats.orderBy(F.col("total").desc(), F.col("term")).limit(int(max_features))
     stats = stats.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df").cast("double"))) + F.lit(1.0))
     v = counts.join(stats.select("term", "idf"), "term").withColumn("v", F.col("count").cast("double") * F.col("idf"))
-    norms = v.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    return v.join(norms, "doc_id").select("doc_id", "term", "count", "idf", (F.col("v") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy("doc_id")))  # as long as a document
+    return v.withColumn("norm", norm).select("doc_id", "term", "count", "idf", (F.col("v") / F.col("norm")).alias("weight"))
 
 
 def stem_terms(vocab: DataFrame, stem_map: DataFrame) -> DataFrame:

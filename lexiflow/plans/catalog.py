@@ -4,14 +4,18 @@ tables of that directory. Column names equal those of the SQL statements in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
 from ..functions.vectors import cosine_arrays, dot_arrays, norm_array
 from ..operators import bpe, folds as fo, knn, metrics as me, scoring, similarity as si, tfidf as tf
+from ..session import stored_folder
+from ..sources import corpus
 from ..sources.tables import conversation_corpus, labelled_documents, read_table
 from .tfidf_knn import knn_cross_validation
 from .library import library_knn
@@ -27,6 +31,8 @@ EOW = "_"
 BPE_MERGES = 20
 WIDE_TERMS = 8
 PAD_MAX_LENGTH = 256
+STEM_LENGTH = 5
+SKIPPED_FOLD = 3  # the fold without a model in batch_score
 # A second stop list that does hit the (mostly English/French/German/Spanish) test corpus.
 EXTRA_STOP_WORDS = ("the", "of", "and", "le", "la", "de", "der", "und", "el", "y")
 
@@ -100,9 +106,21 @@ def q_tfidf(spark, sf):
 
 
 def q_tfidf_wide_top_terms(spark, sf):
-    m = _model(spark, sf)
-    top = (m.idf.orderBy(F.col("cf").desc(), F.col("term")).limit(WIDE_TERMS).select("term").collect())
-    return tf.tfidf_wide(m.tfidf, _docs(spark, sf), sorted(r[0] for r in top), CFG, class_col="class")
+    return tf.tfidf_wide_top(_model(spark, sf), _docs(spark, sf), WIDE_TERMS, "class")
+
+
+def q_stem_vocab(spark, sf):
+    """Vocabulary with terms replaced by stems: here the first STEM_LENGTH letters of longer terms."""
+    vocab = _model(spark, sf).vocab
+    stems = vocab.where(F.length("term") > STEM_LENGTH).select("term", F.substring("term", 1, STEM_LENGTH).alias("stem"))
+    return tf.stem_terms(vocab, stems)
+
+
+def q_tfidf_bpe_vocab(spark, sf):
+    """TF-IDF over the words that a byte-pair encoding merges fully."""
+    words = bpe.train(_bpe_words(spark, sf), BPE_MERGES, EOW, mode="substring").words
+    m = tf.fit_tfidf(_docs(spark, sf), CFG, vocab=bpe.full_words(words, EOW))
+    return m.tfidf.select("doc_id", "term", "n", "term_count", "w")
 
 
 def q_tfidf_smooth_l2(spark, sf):
@@ -161,6 +179,15 @@ def q_bpe_full_words(spark, sf):
     return bpe.full_words(res.words, EOW)
 
 
+def q_bpe_segmented(spark, sf):
+    return bpe.segmented_words(bpe.train(_bpe_words(spark, sf), BPE_MERGES, EOW, mode="substring").words)
+
+
+def q_bpe_segmented_corpus(spark, sf):
+    tokens = tf.corpus_tokens(_docs(spark, sf), CFG)
+    return bpe.segmented_corpus(tokens, bpe.train(bpe.word_table(tokens), BPE_MERGES, EOW, mode="substring").words)
+
+
 # ---------------------------------------------------------------- similarity / kNN
 def _run(spark, sf, class_col=CLASS_COL, docs=None):
     d = docs if docs is not None else _docs(spark, sf, class_col)
@@ -175,8 +202,7 @@ def q_vector_norms(spark, sf):
 def q_all_pairs_similarity(spark, sf):
     m = _model(spark, sf)
     folds = fo.stratified_folds(_docs(spark, sf), N_FOLDS, SEED)
-    # computed now with the cost-chosen strategy and stored bucketed by lo in the checkpoint folder
-    return si.materialized_pairs(m.tfidf, folds).select("lo", "hi", "dot", "sim")
+    return si.all_pairs_similarity(m.tfidf, folds).select("lo", "hi", "dot", "sim")
 
 
 def q_query_similarity(spark, sf):
@@ -251,25 +277,103 @@ def q_knn_query_predict(spark, sf):
     return knn.predict_texts(bench, m, d.select("doc_id", "class"), k, CFG)
 
 
-def _vote_share_model(batch):
-    """Toy per-fold model for the scoring operator: class scores = neighbour vote shares."""
-    import numpy as np
-    import pandas as pd
-
-    s = np.stack(batch["scores"].to_numpy()).astype("float64")
-    share = s / s.sum(axis=1, keepdims=True)
-    return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fold": batch["fold"].to_numpy(),
-                         "code": share.argmax(axis=1).astype("int32"), "confidence": share.max(axis=1)})
-
-
 def q_batch_score(spark, sf):
+    """Vote counts scored with the model of the row's fold: the class sizes of its train part. Fold
+    SKIPPED_FOLD has no model, so its rows are skipped."""
     run = _run(spark, sf)
     codes = scoring.label_codes(_docs(spark, sf))
-    scores = scoring.vote_scores(run.neighbours, run.folds, codes).join(run.folds.select("doc_id", "fold"), "doc_id")
-    models = run.folds.select("fold").distinct()
-    out = scoring.score_batches(scores, _vote_share_model, "doc_id long, fold int, code int, confidence double", models)
-    return scoring.decode(out, codes).select("doc_id", "fold", "code", F.col("class").alias("predicted"),
-                                             F.round("confidence", 9).alias("confidence"))
+    rows = (scoring.vote_scores(run.neighbours, run.folds, codes).withColumnRenamed("scores", "features")
+            .join(run.folds.select("doc_id", "fold"), "doc_id"))
+    split = fo.train_test_split(run.folds, N_FOLDS).where(f"split = 'train' AND fold <> {SKIPPED_FOLD}")
+    sizes = split.join(codes, "class").groupBy("fold", "code").agg(F.count(F.lit(1)).alias("n"))
+    models = sizes.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("_m")).select(
+        "fold", F.col("_m.n").alias("model"))  # one row per fold, one number per class
+    out = scoring.score_batches(rows, models, lambda votes, size: F.zip_with(votes, size, lambda v, n: v.cast("double") / n))
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    out = out.select("doc_id", "fold", scoring.argmax(F.col("scores")).alias("code"),
+                     F.round(F.array_max("scores") / total, 9).alias("confidence"))
+    return scoring.decode(out, codes).select("doc_id", "fold", "code", F.col("class").alias("predicted"), "confidence")
+
+
+def q_knn_fit_predict(spark, sf):
+    bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return knn.KnnClassifier(cfg=CFG).fit(_docs(spark, sf)).predict(bench)
+
+
+def tanimoto(dot, norm_q, norm_t):
+    """dot / (|q|² + |t|² − dot), 0 for empty vectors."""
+    den = norm_q + norm_t - dot
+    return np.divide(dot, den, out=np.zeros_like(dot), where=den != 0)
+
+
+def q_knn_custom_similarity(spark, sf):
+    """The flagship flow with another similarity."""
+    return knn_cross_validation(_docs(spark, sf), CFG, N_FOLDS, SEED, measure=tanimoto).predictions
+
+
+def q_knn_library_stored(spark, sf):
+    """The library flow on the stored TF-IDF table and folds of the first flow: the second run reads
+    what the first one wrote."""
+    d, root = _docs(spark, sf), f"{stored_folder(spark)}/artefacts-{uuid.uuid4().hex[:12]}"
+    m = _model(spark, sf)
+    for _ in range(2):  # built by the first pass, reused by the second
+        weights = corpus.load_or_build(spark, f"{root}/tfidf", lambda: m.tfidf.select("doc_id", "term", F.col("w").alias("weight")))
+        folds = corpus.load_or_build(spark, f"{root}/folds", lambda: fo.stratified_folds(d, N_FOLDS, SEED))
+    return library_knn(d, CFG, n_folds=N_FOLDS, weights=weights, folds=folds).predictions
+
+
+# ---------------------------------------------------------------- files
+def _folder(spark) -> str:
+    return f"{stored_folder(spark)}/files-{uuid.uuid4().hex[:12]}"
+
+
+def q_tfidf_table_round_trip(spark, sf):
+    """The TF-IDF table written and read again."""
+    path = _folder(spark)
+    corpus.write_table(q_tfidf(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def _labelled_folds(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", "text").join(fo.stratified_folds(d, N_FOLDS, SEED), "doc_id").select("doc_id", "text", "class", "fold")
+
+
+def q_folds_file_round_trip(spark, sf):
+    """Fold files, one row per document, written and read again."""
+    path = _folder(spark)
+    corpus.write_folds(_labelled_folds(spark, sf), path)
+    return corpus.read_folds(spark, path)
+
+
+def q_fold_snapshot_round_trip(spark, sf):
+    """Folds as a table partitioned by fold."""
+    path = _folder(spark)
+    corpus.write_table(fo.stratified_folds(_docs(spark, sf), N_FOLDS, SEED), path, partition_by=("fold",))
+    return spark.read.parquet(path).select("doc_id", "class", F.col("fold").cast("int").alias("fold"))
+
+
+def q_fold_csv_round_trip(spark, sf):
+    """Train and test CSV files of every fold."""
+    path = _folder(spark)
+    corpus.write_fold_csv(fo.train_test_split(fo.stratified_folds(_docs(spark, sf), N_FOLDS, SEED), N_FOLDS), path)
+    back = spark.read.option("header", True).schema("doc_id bigint, class string, fold int, split string").csv(path)
+    return back.select("fold", "split", "doc_id", "class")
+
+
+def q_vocabulary_file_round_trip(spark, sf):
+    """Vocabulary file written, read again and joined with a held vocabulary."""
+    path = _folder(spark)
+    corpus.write_vocabulary(_model(spark, sf).vocab, path)
+    bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return corpus.read_vocabulary(spark, path, tf.vocabulary(tf.corpus_tokens(bench, CFG), CFG))
+
+
+def q_metrics_csv_round_trip(spark, sf):
+    """Metrics report written as CSV and read again."""
+    path = _folder(spark)
+    corpus.write_metrics_csv(q_knn_cross_validate(spark, sf), path)
+    return spark.read.option("header", True).schema("class string, precision double, recall double, f1 double").csv(path)
 
 
 # ---------------------------------------------------------------- dense vectors (embeddings)

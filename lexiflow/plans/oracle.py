@@ -150,6 +150,31 @@ vn AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM v GROUP BY doc_id)""")
 WORDS = ("wt AS (SELECT lower(token) AS word, count(*) AS freq FROM tok WHERE lower(token) <> '' GROUP BY 1)",
          f"sy AS (SELECT word, freq, list_append(regexp_extract_all(word, '.'), {_lit(C.EOW)}) AS syms FROM wt)")
 
+
+
+def bpe_ctes(mode: str) -> tuple[str, ...]:
+    """The merge steps, one after another: pairs p, best pair b, words w."""
+    first = """init AS (SELECT DISTINCT symbol FROM (SELECT unnest(regexp_extract_all(array_to_string(syms, ''), '.')) AS symbol FROM sy)
+    WHERE symbol <> '' AND symbol <> ' ')"""
+    seen = ("seen AS (SELECT lower(token) AS word, min([doc_id, pos]) AS first FROM tok GROUP BY 1)")
+    if mode == "substring":
+        start = "w0 AS MATERIALIZED (SELECT sy.word, freq, first, array_to_string(syms, ' ') AS seg FROM sy JOIN seen USING (word))"
+        symbols, tie = "string_split(seg, ' ')", "first"
+        after = "replace(seg, (SELECT a || ' ' || b FROM b{i}), (SELECT a || b FROM b{i})) AS seg FROM w{i}"
+    else:
+        start = "w0 AS MATERIALIZED (SELECT sy.word, freq, first, syms AS seg FROM sy JOIN seen USING (word))"
+        symbols, tie = "seg", "a, b"
+        after = """list_reduce(list_transform(seg, lambda x: [x]), lambda done, x: CASE WHEN done[-1] = a AND x[1] = b
+        THEN list_concat(done[:-2], [a || b]) ELSE list_concat(done, x) END) AS seg FROM w{i}, b{i}"""
+    steps = []
+    for i in range(C.BPE_MERGES):
+        steps.append(f"""p{i} AS MATERIALIZED (SELECT s[j] AS a, s[j + 1] AS b, CAST(sum(freq) AS BIGINT) AS cnt, min(list_append(first, j)) AS first
+    FROM (SELECT *, unnest(range(1, len(s))) AS j FROM (SELECT freq, first, {symbols} AS s FROM w{i})) GROUP BY 1, 2)""")
+        steps.append(f"b{i} AS MATERIALIZED (SELECT a, b, cnt FROM p{i} ORDER BY cnt DESC, {tie} LIMIT 1)")
+        steps.append(f"w{i + 1} AS MATERIALIZED (SELECT word, freq, first, {after.format(i=i)})")
+    return (*WORDS, first, seen, start, *steps)
+
+
 EMB = ("e AS (SELECT vec_id, embedding, label FROM embeddings)",
        "qv AS (SELECT embedding AS qe, vec_id AS qid FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))",
        """ev AS (SELECT e.vec_id, e.label, e.embedding, qv.qid,
@@ -216,11 +241,27 @@ ldot AS (SELECT a.doc_id AS lo, b.doc_id AS hi, sum(a.w * b.w) AS dot
     FROM lpost a JOIN lpost b ON a.term = b.term AND a.doc_id < b.doc_id AND a.fold <> b.fold GROUP BY 1, 2),
 lsim AS (SELECT lo, hi, round(dot, 9) AS sim FROM ldot)""", knn_ctes(sim_table="lsim")) + \
         "SELECT doc_id, fold, actual, predicted FROM preds"
-    inner = _with(*MODEL, f"top AS (SELECT term FROM idf ORDER BY cf DESC, term LIMIT {C.WIDE_TERMS})") + \
-        "SELECT doc_id, term, w / 1000000.0 AS tfidf FROM tfidf WHERE term IN (SELECT term FROM top)"
-    q["tfidf_wide_top_terms"] = (
-        f"SELECT x.doc_id, x.{C.CLASS_COL} AS class, coalesce(COLUMNS(pv.* EXCLUDE (doc_id)), 0.0) "
-        f"FROM documents x LEFT JOIN (PIVOT ({inner}) ON term USING first(tfidf) GROUP BY doc_id) pv ON pv.doc_id = x.doc_id")
+    cols = ", ".join(f"coalesce(sum(CASE WHEN top.place = {i} THEN t.w / 1000000.0 END), 0.0) AS t{i}" for i in range(1, C.WIDE_TERMS + 1))
+    q["tfidf_wide_top_terms"] = _with(*MODEL, f"top AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) AS place FROM idf QUALIFY place <= {C.WIDE_TERMS})",
+                                      f"wide AS (SELECT t.doc_id, {cols} FROM tfidf t JOIN top ON top.term = t.term GROUP BY 1)") + \
+        f"SELECT d.doc_id, d.class, {', '.join(f'coalesce(t{i}, 0.0) AS t{i}' for i in range(1, C.WIDE_TERMS + 1))} FROM d LEFT JOIN wide USING (doc_id)"
+    q["stem_vocab"] = _with(*BASE, vocab_ctes()) + \
+        f"SELECT DISTINCT CASE WHEN length(term) > {C.STEM_LENGTH} THEN substr(term, 1, {C.STEM_LENGTH}) ELSE term END AS term FROM vocab"
+    sub = _with(*BASE, *bpe_ctes("substring"))
+    merges = " UNION ALL ".join(f"SELECT {i} AS rank, a, b, cnt FROM b{i}" for i in range(C.BPE_MERGES))
+    last = f"w{C.BPE_MERGES}"
+    q["bpe_train"] = sub + merges
+    q["bpe_train_symbol"] = _with(*BASE, *bpe_ctes("symbol")) + merges
+    q["bpe_segmented"] = sub + f"SELECT word, freq, seg FROM {last}"
+    q["bpe_segmented_corpus"] = sub + f"SELECT t.doc_id, t.pos, w.seg FROM tok t JOIN {last} w ON w.word = lower(t.token)"
+    full = f"""SELECT DISTINCT term FROM (SELECT CASE WHEN ends_with(seg, '{C.EOW}') THEN seg[:-{len(C.EOW) + 1}] ELSE seg END AS term
+    FROM {last} WHERE NOT contains(seg, ' ')) WHERE term <> ''"""
+    q["bpe_full_words"] = sub + full
+    q["bpe_vocab"] = sub + f"""SELECT row_number() OVER (ORDER BY new, rank, token) - 1 AS position, token FROM (
+    SELECT 0 AS new, 0 AS rank, symbol AS token FROM init UNION ALL
+    SELECT 1, min(rank), a || b FROM ({merges}) WHERE a || b NOT IN (SELECT symbol FROM init) GROUP BY 3)"""
+    q["tfidf_bpe_vocab"] = _with(*BASE, *bpe_ctes("substring"), f"vocab AS ({full})", tfidf_ctes()) + \
+        "SELECT doc_id, term, n, term_count, w FROM tfidf"
     q["knn_predict"] = _with(*KNN) + "SELECT doc_id, fold, actual, predicted FROM preds"
     macro = ("SELECT class, {r} FROM prf1 UNION ALL "
              "SELECT 'Average' AS class, round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9) FROM prf1").format(
@@ -228,7 +269,7 @@ lsim AS (SELECT lo, hi, round(dot, 9) AS sim FROM ldot)""", knn_ctes(sim_table="
     q["knn_cross_validate"] = _with(*METRICS) + macro
     q["macro_metrics"] = _with(LABELLED_DOCS, token_ctes(), vocab_ctes(), tfidf_ctes(), folds_ctes(), pairs_ctes(),
                                knn_ctes(), metric_ctes()) + macro
-    conv = "d AS (SELECT conv_id * 1000000 + turn AS doc_id, text, role AS class FROM conversations)"
+    conv = "d AS (SELECT conv_id * 4294967296 + turn AS doc_id, text, role AS class FROM conversations)"
     q["knn_conversations"] = _with(conv, token_ctes(), vocab_ctes(), tfidf_ctes(), folds_ctes(), pairs_ctes(),
                                    knn_ctes(), metric_ctes()) + macro
     q["confusion_matrix"] = _with(*METRICS) + "SELECT actual, predicted, n FROM cm"
@@ -245,9 +286,12 @@ SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 9) AS accuracy,
         ("SELECT q AS doc_id, code, t_class AS predicted FROM votes JOIN codes ON codes.class = votes.t_class "
          "QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, code) = 1")
     q["batch_score"] = _with(*KNN, "codes AS (SELECT class, CAST(row_number() OVER (ORDER BY class) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT class FROM d))",
-                             "vc AS (SELECT q, code, t_class, votes, sum(votes) OVER (PARTITION BY q) AS total FROM votes JOIN codes ON codes.class = votes.t_class)") + \
-        ("SELECT q AS doc_id, f.fold, code, t_class AS predicted, round(CAST(votes AS DOUBLE) / CAST(total AS DOUBLE), 9) AS confidence "
-         "FROM vc JOIN folds f ON f.doc_id = vc.q QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, code) = 1")
+                             f"""sizes AS (SELECT g.range AS fold, c.code, count(*) AS n FROM folds f JOIN codes c ON c.class = f.class, range({C.N_FOLDS}) g
+    WHERE g.range <> f.fold AND g.range <> {C.SKIPPED_FOLD} GROUP BY 1, 2)""",
+                             """vc AS (SELECT v.q, f.fold, c.code, v.t_class, CAST(v.votes AS DOUBLE) / s.n AS score
+    FROM votes v JOIN codes c ON c.class = v.t_class JOIN folds f ON f.doc_id = v.q JOIN sizes s ON s.fold = f.fold AND s.code = c.code)""") + \
+        ("SELECT q AS doc_id, fold, code, t_class AS predicted, round(score / sum(score) OVER (PARTITION BY q), 9) AS confidence "
+         "FROM vc QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, code) = 1")
     q["knn_query_predict"] = _with(*MODEL, *BENCH_MODEL, """binv AS (SELECT doc_id, token AS term FROM btok WHERE token IN (SELECT term FROM vocab)),
 btc AS (SELECT doc_id, term, count(*) AS n FROM binv GROUP BY 1, 2),
 btot AS (SELECT doc_id, sum(n) AS term_count FROM btc GROUP BY 1),
@@ -267,6 +311,15 @@ qnb AS (SELECT q, t, sim, CAST(row_number() OVER (PARTITION BY q ORDER BY sim DE
 qv AS (SELECT qnb.q, x.class AS t_class, count(*) AS votes FROM qnb JOIN d x ON x.doc_id = qnb.t GROUP BY 1, 2),
 qp2 AS (SELECT q, t_class AS predicted FROM qv QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, t_class) = 1)""") + \
         "SELECT qnb.q AS doc_id, qnb.rank, qnb.t, qnb.sim, qp2.predicted FROM qnb JOIN qp2 ON qp2.q = qnb.q"
+    q["knn_fit_predict"] = f"SELECT DISTINCT doc_id, predicted FROM ({q['knn_query_predict']})"
+    custom = """csim AS (SELECT lo, hi, round(CAST(dot AS DOUBLE) / (CAST(n1.nsq AS DOUBLE) + CAST(n2.nsq AS DOUBLE) - CAST(dot AS DOUBLE)), 6) AS sim
+    FROM pdot JOIN nrm n1 ON n1.doc_id = pdot.lo JOIN nrm n2 ON n2.doc_id = pdot.hi)"""
+    q["knn_custom_similarity"] = _with(*MODEL, folds_ctes(), pairs_ctes(), custom, knn_ctes(sim_table="csim")) + \
+        "SELECT doc_id, fold, actual, predicted FROM preds"
+    nine = """nsim AS (SELECT lo, hi, round(CAST(dot AS DOUBLE) / (sqrt(CAST(n1.nsq AS DOUBLE)) * sqrt(CAST(n2.nsq AS DOUBLE))), 9) AS sim
+    FROM pdot JOIN nrm n1 ON n1.doc_id = pdot.lo JOIN nrm n2 ON n2.doc_id = pdot.hi)"""
+    q["knn_library_stored"] = _with(*MODEL, folds_ctes(), pairs_ctes(), nine, knn_ctes(sim_table="nsim")) + \
+        "SELECT doc_id, fold, actual, predicted FROM preds"
     q["dot_product_arrays"] = _with(*EMB) + "SELECT vec_id, round(dot, 6) AS dot FROM es"
     q["cosine_embeddings"] = _with(*EMB) + "SELECT vec_id, label, round(ne, 6) AS norm, round(cos, 6) AS sim FROM es"
     q["knn_embeddings"] = _with(*EMB, "ek AS (SELECT CAST(floor(sqrt(count(*) - 1)) AS BIGINT) AS k FROM e)",
@@ -305,4 +358,10 @@ longest AS (SELECT max(len) AS m FROM lens),
 pads AS (SELECT doc_id, unnest(range(len, (SELECT m FROM longest))) AS pos, 0 AS input_id, 0 AS attention_mask FROM lens)""") + \
         """SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(input_id AS INTEGER) AS input_id, CAST(attention_mask AS INTEGER) AS attention_mask FROM (
     SELECT * FROM body UNION ALL SELECT doc_id, 0, 2, 1 FROM lens UNION ALL SELECT doc_id, len - 1, 3, 1 FROM lens UNION ALL SELECT * FROM pads)"""
+    q["tfidf_table_round_trip"] = q["tfidf"]
+    q["folds_file_round_trip"] = _with(docs_cte(), folds_ctes()) + "SELECT f.doc_id, d.text, f.class, f.fold FROM folds f JOIN d ON d.doc_id = f.doc_id"
+    q["fold_snapshot_round_trip"] = q["stratified_folds"]
+    q["fold_csv_round_trip"] = q["fold_train_test_split"]
+    q["vocabulary_file_round_trip"] = q["vocab_union"]
+    q["metrics_csv_round_trip"] = q["knn_cross_validate"]
     return q

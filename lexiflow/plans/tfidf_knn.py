@@ -1,7 +1,8 @@
-"""TF-IDF kNN flow: clean → TF-IDF → stratified folds → cosine kNN → metrics.
+"""TF-IDF kNN flow: clean → TF-IDF → stratified folds → kNN → metrics.
 
-All folds are predicted in one plan (fold is a column); the pair table is the only
-large intermediate and is checkpointed once, because four branches read it.
+All folds are predicted in one plan (fold is a column). Weights and folds are stored once
+and read by the branches; a stored TF-IDF table or stored folds of an earlier run take
+their place when given.
 """
 
 from __future__ import annotations
@@ -9,39 +10,41 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..operators.cells import Measure, cosine_measure
 from ..operators.folds import distinct_classes, stratified_folds
 from ..operators.knn import cross_validated_neighbours, k_from_size, predict
 from ..operators.metrics import macro_metrics
-from ..operators.similarity import SALT_BLOCK, all_pairs_similarity, document_postings, pair_plan
-from ..session import cut_lineage
 from ..operators.tfidf import TfidfConfig, TfidfModel, fit_tfidf
+from ..session import stored
+from ..sources.corpus import require_columns
 
 
 class KnnRun(NamedTuple):
-    model: TfidfModel
+    model: TfidfModel | None
+    weights: DataFrame
     folds: DataFrame
     k: int
-    pairs: DataFrame
     neighbours: DataFrame
     predictions: DataFrame
     metrics: DataFrame
 
 
 def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_folds: int = 10, seed: int = 42,
-                         k: int | None = None, block: int = SALT_BLOCK, checkpoint: bool = True) -> KnnRun:
-    """``docs``: (doc_id, text, class). k defaults to ⌊√N⌋ (one count job)."""
-    model = fit_tfidf(docs, cfg)
-    folds = stratified_folds(docs, n_folds, seed)
+                         k: int | None = None, measure: Measure = cosine_measure, digits: int = 6,
+                         tfidf: DataFrame | None = None, folds: DataFrame | None = None) -> KnnRun:
+    """``docs``: (doc_id, text, class). k defaults to ⌊√N⌋ (one count job). ``measure``: similarity
+    of (dot, |q|², |t|²). ``tfidf`` (doc_id, term, w) and ``folds`` (doc_id, class, fold):
+    stored tables to use instead of computing them."""
+    require_columns(docs, ["doc_id", "class"], "documents")
+    model = fit_tfidf(docs, cfg) if tfidf is None else None
+    weights = require_columns(model.tfidf if model else tfidf, ["doc_id", "term", "w"], "TF-IDF table")
+    folds = stored(stratified_folds(docs, n_folds, seed), "folds") if folds is None else require_columns(
+        folds, ["doc_id", "class", "fold"], "folds").withColumn("fold", F.col("fold").cast("int"))
     if k is None:
         k = k_from_size(docs.count())
-    post = cut_lineage(document_postings(model.tfidf, folds))
-    plan = pair_plan(post)
-    n_part = plan.partitions
-    pairs = all_pairs_similarity(model.tfidf, folds, digits=6, block=block, postings=post, plan=plan)
-    has_negative = post.where("w < 0").limit(1).count() > 0
-    neigh = cross_validated_neighbours(pairs, folds, k, checkpoint=checkpoint, partitions=n_part,
-                                       has_negative=has_negative, n_folds=n_folds)
-    preds = predict(neigh, folds)
+    found = stored(cross_validated_neighbours(weights, folds, k, measure, digits), "neighbours")
+    preds = predict(found, folds)
     metrics = macro_metrics(preds, distinct_classes(docs))
-    return KnnRun(model, folds, k, pairs, neigh, preds, metrics)
+    return KnnRun(model, weights, folds, k, found, preds, metrics)

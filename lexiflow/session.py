@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,17 +60,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bucketed_checkpoint(df: DataFrame, by: str, buckets: int, name_prefix: str = "lexiflow") -> DataFrame:
-    """Write ``df`` as a parquet table bucketed (and sorted) by ``by`` in the checkpoint folder
-    and read it back. Unlike an RDD checkpoint, the bucketed scan reports its hash
-    partitioning, so later windows, aggregations and joins on ``by`` need no exchange,
-    and parquet reads only the columns each branch uses. One file per bucket: the rows
-    are hash-partitioned by ``by`` into ``buckets`` tasks first (the same hash as buckets)."""
-    import uuid
+def stored_folder(spark: SparkSession) -> str:
+    """Folder of this session's intermediate tables, inside the checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored"
 
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table into the checkpoint directory and read it back: cuts the
+    lineage, several branches read one result with column pruning, and the planner knows
+    its size."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    name = f"{name_prefix}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by)
-     .option("path", f"{root}/tables/{name}").saveAsTable(name))
-    return spark.table(name)
+    path = f"{stored_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session, once the results that read them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stored_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_text
-from ..operators.ranking import prefix_rank
+from ..operators.ranking import range_rank
 
 
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") -> DataFrame:
@@ -25,7 +25,7 @@ def read_labelled_directory(spark: SparkSession, base: str, clean: bool = True,
                             sep: str = " ", encoding: str = "UTF-8") -> DataFrame:
     """``base/<class>/<file>`` → (doc_id, text, class). One sub-folder is one class, one
     file one document; files directly under ``base`` are not read. ``doc_id`` is the
-    rank of the path (distributed rank, no single-task sort); with ``clean`` the text is
+    rank of the path (paths alone are ranked, by range partitions); with ``clean`` the text is
     cleaned on load (kept words, each followed by a space)."""
     raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
            .load(f"{base.rstrip('/')}/*/*"))
@@ -34,9 +34,9 @@ def read_labelled_directory(spark: SparkSession, base: str, clean: bool = True,
         F.decode(F.col("content"), encoding).alias("text"),
         F.element_at(F.split(F.col("path"), "/"), -2).alias("class"),
     )
-    ranked = prefix_rank(docs.withColumn("_g", F.lit(0)), ["_g"], "path", "path", out="doc_id", prefix_len=1)
+    places = range_rank(docs.select("path"), "path", "doc_id").withColumnRenamed("path", "_path")
     text = sanitize_text(F.col("text"), stop_words, only_alpha, sep) if clean else F.col("text")
-    return ranked.select("doc_id", text.alias("text"), "class")
+    return docs.join(places, F.col("path") == F.col("_path")).select("doc_id", text.alias("text"), "class")
 
 
 # ------------------------------------------------------------------ tables
@@ -56,8 +56,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False,
                   partition_by: Sequence[str] = ()) -> DataFrame:
-    """Reuse a stored artefact when it exists, else build it, write it once and read it back."""
-    if rebuild or not path_exists(spark, path):
+    """Reuse a stored artefact whose write has finished (``_SUCCESS``), else build it, write it and
+    read it back."""
+    if rebuild or not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         write_table(build(), path, partition_by=partition_by)
     return spark.read.parquet(path)
 
@@ -89,8 +90,9 @@ def read_folds(spark: SparkSession, path: str) -> DataFrame:
 
 def write_fold_csv(split: DataFrame, path: str) -> None:
     """Train/test CSV per fold, sorted by id: ``split`` from ``train_test_split`` joined
-    with the text. Folders fold=<i>/split=<train|test>."""
-    (split.repartition("fold", "split").sortWithinPartitions("doc_id")
+    with the text. Folders fold=<i>/split=<train|test>, each written by as many tasks as its
+    rows need."""
+    (split.repartitionByRange("fold", "split", "doc_id").sortWithinPartitions("fold", "split", "doc_id")
      .write.mode("overwrite").partitionBy("fold", "split").option("header", True).csv(path))
 
 

@@ -19,7 +19,8 @@ def labelled_documents(spark: SparkSession, sf_dir: str, class_col: str = "sourc
 
 
 def conversation_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``conversations`` as a labelled corpus; the id packs (conv_id, turn), class = role."""
+    """``conversations`` as a labelled corpus; the id packs (conv_id, turn) into
+    the upper and lower 32 bits, class = role."""
     conv = read_table(spark, sf_dir, "conversations")
-    return conv.select((F.col("conv_id") * F.lit(1_000_000) + F.col("turn")).alias("doc_id"), "text",
+    return conv.select((F.col("conv_id") * F.lit(1 << 32) + F.col("turn")).alias("doc_id"), "text",
                        F.col("role").alias("class"))
