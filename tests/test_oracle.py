@@ -13,7 +13,11 @@ FAST = ["sanitize_text", "sanitize_tokens", "sanitize_chars", "stopword_anti_joi
         "doc_term_totals", "collection_frequency", "idf", "tfidf", "tfidf_smooth_l2", "word_count",
         "bpe_pair_counts", "vector_norms", "all_pairs_similarity", "query_similarity", "knn_predict",
         "stratified_folds", "quota_folds", "fold_quotas", "drop_first_n_per_class", "label_encode",
-        "dot_product_arrays", "cosine_embeddings", "knn_embeddings", "encode_pad_mask", "weighted_metrics"]
+        "dot_product_arrays", "cosine_embeddings", "knn_embeddings", "encode_pad_mask", "weighted_metrics",
+        "bpe_train", "bpe_train_symbol", "bpe_vocab", "bpe_full_words", "bpe_segmented", "tfidf_bpe_vocab", "stem_vocab",
+        "tfidf_wide_top_terms", "knn_library_stored", "knn_fit_predict", "knn_custom_similarity", "batch_score",
+        "folds_file_round_trip", "fold_snapshot_round_trip", "fold_csv_round_trip", "vocabulary_file_round_trip",
+        "metrics_csv_round_trip", "tfidf_table_round_trip"]
 
 
 @pytest.fixture(scope="module")

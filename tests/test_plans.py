@@ -1,5 +1,5 @@
 """Plan checks: pruning and pushdown reach the scan, the vocabulary join is a
-size-checked broadcast at this size, the top-k is a group limit."""
+size-checked broadcast at this size, the top-k comes from cells."""
 
 from lexiflow.plans import catalog as C
 
@@ -20,14 +20,25 @@ def test_vocabulary_semi_join_broadcast(spark):
     assert "LeftSemi" in plan
 
 
-def test_neighbour_top_k_is_group_limited(spark):
-    plan = _plan(C.q_knn_neighbours(spark, SF))
-    assert "WindowGroupLimit" in plan
-    assert "CartesianProduct" not in plan
+def test_neighbours_come_from_cells_without_a_pair_table(spark):
+    from lexiflow.operators import cells
+    from lexiflow.operators.folds import stratified_folds
 
+    folds = stratified_folds(C._docs(spark, SF), 10, 42)
+    v = cells.document_vectors(C._model(spark, SF).tfidf, folds)
+    plan = _plan(cells.top_k(v, v, 14))
+    above = plan.split("FlatMapCoGroupsInArrow")[0]
+    assert "FlatMapCoGroupsInArrow" in plan and "Window" in above
+    assert "Join" not in above and "CartesianProduct" not in plan
 
-def test_similarity_table_read_bucketed(spark):
-    """The kNN branches read the query-bucketed similarity table with its partitioning:
-    the scan is bucketed and the top-k window above it needs no shuffle of its own."""
-    plan = _plan(C.q_knn_neighbours(spark, SF))
-    assert "lexiflow_sims" in plan and "Bucketed: true" in plan
+
+def test_tfidf_joins_the_document_table_once(spark):
+    plan = _plan(C.q_tfidf(spark, SF)).split("Initial Plan")[0]
+    assert plan.count("document-tokens") <= 1 or plan.count("Scan parquet") <= 6
+
+
+def test_no_rows_lost_without_a_class(spark):
+    from lexiflow.operators.folds import quota_folds, stratified_folds
+
+    docs = spark.createDataFrame([(1, "a"), (2, None), (None, None), (4, "a"), (5, None)], "doc_id long, class string")
+    assert stratified_folds(docs, 2).count() == 5 and quota_folds(docs, 2).count() == 5

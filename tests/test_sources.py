@@ -73,3 +73,38 @@ def test_metrics_and_fold_csv(spark, tmp_dir):
 def test_require_columns(spark):
     with pytest.raises(ValueError):
         S.require_columns(spark.range(1), ["doc_id", "text"])
+
+
+def test_paths_are_ranked_by_many_tasks(spark, tmp_dir):
+    for i in range(60):
+        os.makedirs(f"{tmp_dir}/c{i % 3}", exist_ok=True)
+        with open(f"{tmp_dir}/c{i % 3}/f{i:03d}.txt", "w") as fh:
+            fh.write(f"text {i}")
+    docs = S.read_labelled_directory(spark, tmp_dir, clean=False).orderBy("doc_id").collect()
+    assert [r.doc_id for r in docs] == list(range(60))
+    want = sorted((f"c{i % 3}/f{i:03d}", f"text {i}") for i in range(60))
+    assert [r.text for r in docs] == [t for _, t in want]
+    from lexiflow.operators.ranking import range_rank
+
+    paths = spark.createDataFrame([(f"file:/x/{p}",) for p, _ in want], "path string")
+    ranked = range_rank(paths, "path", "n")
+    assert [r.n for r in ranked.orderBy("path").collect()] == list(range(60))
+    assert ranked.inputFiles() and len(ranked.inputFiles()) > 2  # written by more than one task
+
+
+def test_fold_csv_is_written_by_many_tasks(spark, tmp_dir):
+    rows = [(f, s, d, "a") for f in range(3) for s, n in (("test", 5), ("train", 400)) for d in range(n)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be put together again
+    S.write_fold_csv(spark.createDataFrame(rows, "fold int, split string, doc_id long, class string"), f"{tmp_dir}/csv")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for _, _, fs in os.walk(f"{tmp_dir}/csv") for f in fs if f.startswith("part-")]
+    assert len(files) > 6
+    back = spark.read.option("header", True).csv(f"{tmp_dir}/csv")
+    assert back.count() == len(rows)
+
+
+def test_half_written_artefact_is_built_again(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/half")
+    with open(f"{tmp_dir}/half/part-00000.parquet", "w") as fh:
+        fh.write("broken")
+    assert S.load_or_build(spark, f"{tmp_dir}/half", lambda: spark.range(4)).count() == 4
