@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
+from .shingles import text_chunks
 
 WIDE = 48
 #: Remembered matches per task, and the longest that is remembered.
-REMEMBERED, LONGEST = 600_000, 64
-CHUNK_CHARS = 1 << 20
+REMEMBERED, LONGEST = 400_000, 64
+#: Ids per batch that ``decode`` gives out.
+DECODED_TOGETHER = 1 << 19
 _NONE = np.int32(2**31 - 1)
 _FREE = np.uint64(2**64 - 1)
 
@@ -202,18 +204,6 @@ def _codec(shared, pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def chunks_of(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= CHUNK_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """documents → doc_id, ids (array of int) of the whole text. The vocabulary (a file of
     fixed size) is broadcast."""
@@ -222,14 +212,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     def run(batches):
         codec = _codec(shared, pattern)
         for batch in batches:
-            done = 0
-            for part in chunks_of(batch.column(1).to_pylist()):
+            for lo, hi, part in text_chunks(batch.column(1)):
                 ids = list(codec.encode(part))
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, len(part)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))],
+                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))],
                     names=["doc_id", "ids"])
-                done += len(part)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t"))
             .mapInArrow(run, "doc_id long, ids array<int>"))
@@ -245,8 +233,12 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFra
         for batch in batches:
             column = batch.column(len(others))
             ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            data = [codec.decode(values[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(data, pa.binary())], names=[*others, "decoded"])
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + DECODED_TOGETHER, "right")) - 1)
+                data = [codec.decode(values[a:b]) for a, b in zip(ends[lo:hi].tolist(), ends[lo + 1:hi + 1].tolist())]
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), pa.array(data, pa.binary())], names=[*others, "decoded"])
+                lo = hi
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != "ids")
     return encoded.select(*others, F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, f"{fields}, decoded binary")

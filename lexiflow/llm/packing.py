@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .bpe import chunks_of
 from .common import stored, text_or_empty
+from .shingles import text_chunks
 
 #: Pieces per ranking part of a length, if one length had all pieces.
 RANKED_TOGETHER = 200_000
@@ -76,10 +76,9 @@ def token_pieces(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id:
     def run(batches):
         encoder = _encoder(shared, pattern)
         for batch in batches:
-            done = 0
-            for part in chunks_of(batch.column(1).to_pylist()):
+            for lo, _, part in text_chunks(batch.column(1)):
                 rows, crc, tokens = [], [], []
-                for i, text in enumerate(part, done):
+                for i, text in enumerate(part, lo):
                     ids = np.append(encoder.encode_to_numpy(text, disallowed_special=()), end_id).astype("<u4")
                     for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                         rows.append((i, piece, start, length))
@@ -87,7 +86,6 @@ def token_pieces(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id:
                         crc.append(zlib.crc32(own.tobytes()))
                         if with_ids:
                             tokens.append(own)
-                done += len(part)
                 row, piece, start, length = np.array(rows, np.int64).T
                 columns = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
                            pa.array(length), pa.array(crc, pa.int64())]

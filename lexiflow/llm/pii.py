@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import chunks_of
 from .common import row_key, stored, text_or_empty
-from .shingles import _POWERS, mix
+from .shingles import _POWERS, mix, text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the labelled table: documents, sentences with a span, sentences without, words in one.
@@ -346,7 +345,7 @@ def labelled_sentences(docs: DataFrame) -> list[dict]:
     """The small labelled table: at most TRAIN_WITH + TRAIN_WITHOUT sentences."""
     def run(batches):
         for batch in batches:
-            for part in chunks_of(batch.column(0).to_pylist()):
+            for _, _, part in text_chunks(batch.column(0)):
                 w, offsets = words_of(part)
                 tag = _tags(w, [(k, int(o) + a, int(o) + b) for o, t in zip(offsets, part) for k, a, b in base_spans(t)])
                 rows = [(lo, hi) for lo, hi in zip(w.first[:-1].tolist(), w.first[1:].tolist()) if hi - lo <= TRAIN_WORDS]
@@ -381,16 +380,14 @@ def _tagger(shared, redacted: bool):
     def run(batches):
         for batch in batches:
             others = batch.num_columns - 1
-            done = 0
-            for part in chunks_of(batch.column(others).fill_null("").to_pylist()):
+            for lo, hi, part in text_chunks(batch.column(others)):
                 spans = spans_of(part, shared.value)
-                keep = [c.slice(done, len(part)) for c in batch.columns[:others]]
+                keep = [c.slice(lo, hi - lo) for c in batch.columns[:others]]
                 if redacted:
                     new = pa.array([redact_text(t, s) for t, s in zip(part, spans)], pa.string())
                 else:
                     new = pa.array([[{"kind": KINDS[k], "start": a, "end": b, "base": x} for k, a, b, x in s] for s in spans], pa.list_(kind))
                 yield pa.RecordBatch.from_arrays([*keep, new], names=[*batch.schema.names[:others], "found"])
-                done += len(part)
 
     return run
 
