@@ -18,7 +18,7 @@ HEADLINE = (
     "quota_folds",
     "bpe_pair_counts",
     "query_similarity",
-    "all_pairs_similarity",
+    "knn_library",
     "knn_cross_validate",
 )
 
