@@ -36,7 +36,7 @@ from .common import stored, text_or_empty
 from .shingles import text_chunks
 
 #: Pieces per ranking part of a length, if one length had all pieces.
-RANKED_TOGETHER = 200_000
+RANKED_TOGETHER = 20_000
 
 Patterns = list[tuple[tuple[int, ...], int]]
 

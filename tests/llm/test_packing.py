@@ -87,7 +87,7 @@ def test_table(spark):
     assert used <= 1.02 * least + 1
 
 
-@pytest.mark.parametrize("together", [200_000, 3])
+@pytest.mark.parametrize("together", [20_000, 3])
 def test_awkward_rows(spark, awkward, nothing, monkeypatch, together):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", together)
     docs = awkward.union(texts_frame(spark, [(99, "<|endoftext|> " + " " * 5000 + "ab" * 9000, None, None)] * 7))
