@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DOCS_PER_CELL = 2048  # documents of one side in a cell: a strip is STRIP x 2048 doubles
+DOCS_PER_CELL = 8192  # documents of one side in a cell: a strip is STRIP x 8192 doubles
+PAIR_DOCS_PER_CELL = 2048  # the same where a cell returns pairs
 STRIP = 256
 PRODUCTS = 2_000_000  # products expanded at a time
 _LAST = -(2**62)
@@ -55,9 +56,9 @@ def document_vectors(weights: DataFrame, docs: DataFrame, weight: str = "w") ->
                     F.coalesce("weights", F.array().cast("array<double>")).alias("weights")))
 
 
-def _buckets(docs: int, tasks: int) -> int:
+def _buckets(docs: int, tasks: int, per_cell: int) -> int:
     """Buckets of one side: enough for the memory of a cell and for all cores."""
-    return max(1, math.ceil(docs / DOCS_PER_CELL), min(math.ceil(math.sqrt(tasks)), docs))
+    return max(1, math.ceil(docs / per_cell), min(math.ceil(math.sqrt(tasks)), docs))
 
 
 class _Side:
@@ -112,11 +113,11 @@ def _rounded(x: np.ndarray, digits: int) -> np.ndarray:
     return (np.sign(x) * np.floor(np.abs(x) * 10.0**digits + 0.5)).astype(np.int64)
 
 
-def _cells(queries: DataFrame, candidates: DataFrame, buckets: tuple[int, int] | None):
+def _cells(queries: DataFrame, candidates: DataFrame, buckets: tuple[int, int] | None, per_cell: int):
     """Both sides copied to their cells, grouped by cell."""
     if buckets is None:
         tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
-        buckets = _buckets(queries.count(), tasks), _buckets(candidates.count(), tasks)
+        buckets = _buckets(queries.count(), tasks, per_cell), _buckets(candidates.count(), tasks, per_cell)
     s_q, s_c = buckets
     own = lambda s: F.pmod(F.xxhash64("doc_id"), F.lit(s)).cast("int")
     every = lambda s: F.explode(F.sequence(F.lit(0), F.lit(s - 1)))
@@ -152,7 +153,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, measure: Measure =
             out.append(pa.table([x.ids[lo:hi][row], x.folds[lo:hi][row], y.ids[col], y.folds[col], value[row, col] / 10.0**digits], schema=schema))
         return pa.concat_tables(out)
 
-    best = _cells(queries, candidates, buckets).applyInArrow(run, "q long, fold_q int, t long, fold_t int, sim double")
+    best = _cells(queries, candidates, buckets, DOCS_PER_CELL).applyInArrow(run, "q long, fold_q int, t long, fold_t int, sim double")
     order = Window.partitionBy("q").orderBy(F.col("sim").desc(), "fold_t", "t")  # at most S_c · k rows per query
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("q", "fold_q", "rank", "t", "fold_t", "sim"))
@@ -183,5 +184,5 @@ def pairs(queries: DataFrame, candidates: DataFrame, measure: Measure = cosine_m
                                  y.norm[col], x.folds[lo:hi][row], y.folds[col]], schema=schema))
         return pa.concat_tables(out)
 
-    return _cells(queries, candidates, buckets).applyInArrow(run, ", ".join(
+    return _cells(queries, candidates, buckets, PAIR_DOCS_PER_CELL).applyInArrow(run, ", ".join(
         f"{f.name} {'int' if f.type == pa.int32() else 'long' if f.type == pa.int64() else 'double'}" for f in schema))
