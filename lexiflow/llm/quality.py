@@ -31,7 +31,7 @@ from .rules import prior_strength
 from .shingles import chunks, utf8_buffers, word_hashes
 
 #: Labelled rows for the fit: those with the smallest hashes of doc_id.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 5_000
 FEATURES = ("log_words", "word_length", "upper", "digits", "marks", "symbols", "other", "lines", "distinct", "short", "repeated")
 _B = np.arange(256)
 _GROUPS = [(_B >= 65) & (_B <= 90), (_B >= 48) & (_B <= 57), np.isin(_B, list(b".,;:!?'\"")), np.isin(_B, list(b"#*$%&|<>=~^_{}[]\\/@+")),
