@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.session import ensure_checkpoint_dir
+from lexiflow.session import stored  # noqa: F401  tables in the shared checkpoint folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space that separates words, as the inside of a character class.
@@ -29,19 +28,6 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
-    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
-
-    Cuts the lineage (a lost executor costs no recomputation), lets several branches read
-    one result with column pruning, and gives the planner the real size, so that a join
-    with the table is a broadcast only below Spark's own size threshold.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    (df if partitions is None else df.repartition(partitions)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_key() -> list[Column]:
     """Columns that name a document when ``doc_id`` may be null or repeated."""
     return [F.col("doc_id").alias("k_id"), F.xxhash64(text_or_empty()).alias("k_text")]
