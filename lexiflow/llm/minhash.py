@@ -149,8 +149,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     needed = stored(members.select("node").distinct(), "bucket-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("t"))
-    sets = stored(texts.join(needed, "node", "left_semi").mapInArrow(_full_sets, "node long, items array<long>")
-                  .dropDuplicates(["node", "items"]), "full-sets")
+    sets = texts.join(needed, "node", "left_semi").mapInArrow(_full_sets, "node long, items array<long>")
+    if not rows.where("n > 0").groupBy("k_id", "k_text").count().where("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["node", "items"])  # documents listed twice
+    sets = stored(sets.withColumn("own", F.xxhash64("items")), "full-sets")
     links = stored(confirmed(star, sets, percent), "star-links")
     parts = stored(connected_components(links), "components")
 
@@ -175,11 +177,12 @@ def _across(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int)
     split = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band")
     open_nodes = stored(placed.join(split, "band", "left_semi").select("node", "part").distinct(), "open-nodes")
 
-    items = sets.join(open_nodes, "node").select("node", "part", F.size("items").alias("n"), F.explode("items").alias("item"))
+    items = sets.join(open_nodes, "node").select(
+        "node", "part", "own", F.size("items").alias("n"), F.explode("items").alias("item"))
     common = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     common = stored(items.join(common, "item"), "common-items")
     # a similar set shares one of the n - ceil(0.75 n) + 1 rarest items; items of one set only come first
-    seen = W.partitionBy("node", "part", "n")
+    seen = W.partitionBy("node", "own")
     place = F.col("n") - F.count(F.lit(1)).over(seen) + F.row_number().over(seen.orderBy("df", "item")) - 1
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
     heads = stored(common.withColumn("place", place).where(F.col("place") <= prefix)

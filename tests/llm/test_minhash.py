@@ -80,6 +80,20 @@ def test_awkward_rows(spark, awkward, nothing):
     assert minhash.near_duplicates(nothing).collect() == []
 
 
+def test_documents_listed_twice_change_nothing(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(3000)}" for _ in range(90)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 12)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    docs = texts_frame(spark, [(i, t, None, None) for i, t in rows + rows[::2] + rows[:5]])
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == 95 and {r.k_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
 def test_short_texts_are_one_sequence(spark):
     rows = [(1, "a b c"), (2, "A B C"), (3, "a b"), (4, "a b c d e"), (5, "a b c d e f"), (6, "a c b"), (7, "")]
     assert answer(minhash.near_duplicates(texts_frame(spark, [(i, t, None, None) for i, t in rows]))) == brute(rows)
