@@ -15,17 +15,24 @@ Two merge rules:
 One merge = one aggregation job over the word table, or two where equal counts have to be
 told apart, with a one-row result on the driver (the chosen pair); the word table is
 checkpointed every few merges so the lineage does not grow with the number of merges.
+
+``train_indexed`` gives the same for thousands of merges: one task holds the distinct words and
+an index of their pairs (``bpe_index``), so a merge costs the words that it changes. Its memory
+grows with the distinct words, not with the corpus.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
+from .bpe_index import PairIndex
 from .ranking import range_rank
 
 
@@ -149,6 +156,49 @@ def train(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", che
     return BpeResult(merges_df, vocab, w)
 
 
+def train_indexed(words: DataFrame, n: int, eow: str = "_", mode: str = "substring") -> BpeResult:
+    """``train`` with the words and their pairs indexed in one task. Words with the same first
+    place (repeated document ids) are taken in the order of the words."""
+    if mode not in ("substring", "symbol"):
+        raise ValueError("mode must be 'substring' or 'symbol'")
+    w = stored(with_symbols(words, eow), "bpe-words")
+
+    def run(batches):
+        index, kept = PairIndex(mode == "substring"), []
+        for batch in batches:
+            for syms, freq in zip(batch.column("syms").to_pylist(), batch.column("freq").to_pylist()):
+                index.add(syms, freq)
+            kept.append(batch.select(["word", "freq", "first_doc", "first_pos"]))
+        merges = index.run(n)
+        names = [*schema.names]
+        if merges:
+            a, b, cnt = zip(*merges)
+            none = [pa.nulls(len(merges), schema.field(c).type) for c in names[4:]]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(merges)), pa.int32()), pa.array(a), pa.array(b),
+                                              pa.array(cnt, pa.int64()), *none], names=names)
+        lo = 0
+        for batch in kept:
+            hi = lo + batch.num_rows
+            none = [pa.nulls(hi - lo, schema.field(c).type) for c in names[:4]]
+            syms = [list(index._symbols(i)) for i in range(lo, hi)]
+            yield pa.RecordBatch.from_arrays([*none, *batch.columns, pa.array(syms, pa.list_(pa.string()))], names=names)
+            lo = hi
+
+    doc = w.schema["first_doc"].dataType
+    pos = w.schema["first_pos"].dataType
+    schema = pa.schema([("rank", pa.int32()), ("a", pa.string()), ("b", pa.string()), ("cnt", pa.int64()), ("word", pa.string()),
+                        ("freq", pa.int64()), ("first_doc", to_arrow_type(doc)), ("first_pos", to_arrow_type(pos)),
+                        ("syms", pa.list_(pa.string()))])
+    trained = stored(
+        w.repartition(1).sortWithinPartitions("first_doc", "first_pos", "word").mapInArrow(
+            run, f"rank int, a string, b string, cnt bigint, word string, freq bigint, first_doc {doc.simpleString()}, "
+                 f"first_pos {pos.simpleString()}, syms array<string>"), "bpe-trained")
+    merges = trained.where(F.col("rank").isNotNull()).select("rank", "a", "b", "cnt")
+    done = (trained.where(F.col("rank").isNull()).select("word", "freq", "first_doc", "first_pos", "syms")
+            .withColumn("seg", F.concat_ws(" ", "syms")))
+    return BpeResult(merges, _vocabulary(initial_vocabulary(w, mode), merges, mode), done)
+
+
 def _vocabulary(init_vocab: DataFrame, merges: DataFrame, mode: str) -> DataFrame:
     """(position, token). ``substring``: sorted initial symbols, then new tokens in merge
     order (first time only). ``symbol``: all tokens sorted."""

@@ -1,0 +1,162 @@
+"""Byte-pair merges over indexed words: after a merge only the words that hold the pair are
+recounted. The choices are those of ``bpe.train``.
+
+The pairs wait in a heap of lower bounds: a pair that gains a count or an earlier place is put
+in again, one that lost some is put right when it comes out.
+"""
+
+from __future__ import annotations
+
+import heapq
+from array import array
+from collections import defaultdict
+
+Pair = tuple[str, str]
+
+
+def merge_symbols(syms: tuple[str, ...], a: str, b: str) -> tuple[str, ...]:
+    out: list[str] = []
+    for s in syms:
+        if out and out[-1] == a and s == b:
+            out[-1] = a + b
+        else:
+            out.append(s)
+    return tuple(out)
+
+
+class PairIndex:
+    """Words in corpus order, each a joined symbol string (``substring``) or a tuple of symbols."""
+
+    def __init__(self, substring: bool) -> None:
+        self.substring = substring
+        self.words: list = []
+        self.freq = array("q")
+        self.count: dict[Pair, int] = {}
+        self.holders: dict[Pair, array] = {}  # also words that no longer hold the pair
+        self.unsorted: set[Pair] = set()
+        self.first: dict[Pair, tuple[int, int]] = {}  # (word, characters before it), or less
+        self.right: dict[str, set[str]] = defaultdict(set)
+        self.ends: dict[str, set[str]] = defaultdict(set)
+        self.begins: dict[str, set[str]] = defaultdict(set)
+        self.heap: list[tuple] = []
+
+    def _symbols(self, w: int):
+        return self.words[w].split(" ") if self.substring else self.words[w]
+
+    @staticmethod
+    def _places(syms) -> dict[Pair, list[int]]:
+        """pair → [times, characters before the first]."""
+        out: dict[Pair, list[int]] = {}
+        at = 0
+        for p in zip(syms, syms[1:]):
+            if p in out:
+                out[p][0] += 1
+            else:
+                out[p] = [1, at]
+            at += len(p[0])
+        return out
+
+    def add(self, syms: list[str], freq: int) -> None:
+        w = len(self.words)
+        self.words.append(" ".join(syms) if self.substring else tuple(syms))
+        self.freq.append(freq)
+        for p, (times, at) in self._places(self._symbols(w)).items():
+            self._gain(p, w, times * freq, at)
+
+    def _gain(self, p: Pair, w: int, n: int, at: int) -> None:
+        """A word that did not hold the pair."""
+        if p not in self.count:
+            self.count[p], self.holders[p] = 0, array("i")
+            if self.substring:
+                self.right[p[0]].add(p[1])
+                for i in range(len(p[0]) + 1):
+                    self.ends[p[0][i:]].add(p[0])
+                for i in range(len(p[1]) + 1):
+                    self.begins[p[1][:i]].add(p[1])
+        held = self.holders[p]
+        if held and held[-1] >= w:
+            self.unsorted.add(p)
+        held.append(w)
+        self.count[p] += n
+        if self.substring and (p not in self.first or (w, at) < self.first[p]):
+            self.first[p] = (w, at)
+
+    def _push(self, p: Pair) -> None:
+        heapq.heappush(self.heap, (-self.count[p], *self.first.get(p, (0, 0)), *p))
+
+    def _first(self, p: Pair) -> tuple[int, int]:
+        if p in self.unsorted:
+            self.unsorted.discard(p)
+            self.holders[p] = array("i", sorted(set(self.holders[p])))
+        held, mark = self.holders[p], f" {p[0]} {p[1]} "
+        for k, w in enumerate(held):
+            text = f" {self.words[w]} "
+            if (at := text.find(mark)) >= 0:
+                del held[:k]
+                return w, at - text.count(" ", 0, at)
+        raise AssertionError("a counted pair has a place")
+
+    def best(self) -> tuple[Pair, int] | None:
+        while self.heap:
+            n, w, at, *p = heapq.heappop(self.heap)
+            p = tuple(p)
+            now = self.count.get(p, 0)
+            if now <= 0 or now > -n:  # gone, or put in again with more
+                continue
+            if now == -n and self.substring and (first := self._first(p)) != (w, at):
+                self.first[p] = first
+                now = -1
+            if now != -n:
+                self._push(p)
+                continue
+            return p, now
+        return None
+
+    def _matching(self, a: str, b: str) -> list[Pair]:
+        """Pairs whose words a merge of (a, b) can change."""
+        if not self.substring:
+            return [(a, b)]
+        begins = self.begins[b]
+        return [(s, t) for s in self.ends[a] for t in self.right[s] & begins]
+
+    def merge(self, a: str, b: str) -> None:
+        held = set().union(*(self.holders[p] for p in self._matching(a, b)))
+        more: set[Pair] = set()
+        less: set[Pair] = set()
+        for w in held:
+            old = self._symbols(w)
+            self.words[w] = self.words[w].replace(f"{a} {b}", a + b) if self.substring else merge_symbols(old, a, b)
+            new = self._symbols(w)
+            if len(new) == len(old):
+                continue
+            before, after, freq = self._places(old), self._places(new), self.freq[w]
+            for p, (times, _) in before.items():
+                change = (after[p][0] if p in after else 0) - times
+                if change:
+                    self.count[p] += change * freq
+                    (more if change > 0 else less).add(p)
+            for p, (times, at) in after.items():
+                if p not in before:
+                    self._gain(p, w, times * freq, at)
+                    more.add(p)
+                elif self.substring and (w, at) < self.first[p]:
+                    self.first[p] = (w, at)
+                    more.add(p)
+        for p in more | less:
+            if not self.count[p]:
+                del self.count[p], self.holders[p]
+                self.first.pop(p, None)
+                self.unsorted.discard(p)
+                self.right[p[0]].discard(p[1])
+            elif p in more:
+                self._push(p)
+
+    def run(self, n: int) -> list[tuple[str, str, int]]:
+        for p in self.count:
+            self._push(p)
+        merges = []
+        while len(merges) < n and (found := self.best()):
+            (a, b), count = found
+            self.merge(a, b)
+            merges.append((a, b, count))
+        return merges

@@ -28,7 +28,8 @@ MIN_DF, MAX_DF = 0.001, 0.55
 LIB_MIN_DF, LIB_MAX_DF, LIB_MAX_FEATURES = 0.005, 0.7, 15000
 DROP_FIRST_N = 40
 EOW = "_"
-BPE_MERGES = 20
+BPE_MERGES = 20  # of the queries whose SQL unrolls the merges
+BPE_FULL_MERGES = 10_000  # the reference's default, for the queries named ..._full
 WIDE_TERMS = 8
 PAD_MAX_LENGTH = 256
 STEM_LENGTH = 5
@@ -123,6 +124,12 @@ def q_tfidf_bpe_vocab(spark, sf):
     return m.tfidf.select("doc_id", "term", "n", "term_count", "w")
 
 
+def q_tfidf_bpe_vocab_full(spark, sf):
+    """The same with the reference's number of merges."""
+    m = tf.fit_tfidf(_docs(spark, sf), CFG, vocab=bpe.full_words(_bpe_full(spark, sf).words, EOW))
+    return m.tfidf.select("doc_id", "term", "n", "term_count", "w")
+
+
 def q_tfidf_smooth_l2(spark, sf):
     t = tf.smooth_tfidf(_docs(spark, sf), CFG)
     return t.select("doc_id", "term", "count", F.round("weight", 9).alias("weight"))
@@ -188,6 +195,36 @@ def q_bpe_segmented_corpus(spark, sf):
     return bpe.segmented_corpus(tokens, bpe.train(bpe.word_table(tokens), BPE_MERGES, EOW, mode="substring").words)
 
 
+def _bpe_full(spark, sf, mode="substring"):
+    return bpe.train_indexed(_bpe_words(spark, sf), BPE_FULL_MERGES, EOW, mode=mode)
+
+
+def q_bpe_train_full(spark, sf):
+    """The reference's number of merges, or as many as there are; so the other ..._full queries."""
+    return _bpe_full(spark, sf).merges
+
+
+def q_bpe_train_symbol_full(spark, sf):
+    return _bpe_full(spark, sf, "symbol").merges
+
+
+def q_bpe_vocab_full(spark, sf):
+    return _bpe_full(spark, sf).vocab
+
+
+def q_bpe_full_words_full(spark, sf):
+    return bpe.full_words(_bpe_full(spark, sf).words, EOW)
+
+
+def q_bpe_segmented_full(spark, sf):
+    return bpe.segmented_words(_bpe_full(spark, sf).words)
+
+
+def q_bpe_segmented_corpus_full(spark, sf):
+    tokens = tf.corpus_tokens(_docs(spark, sf), CFG)
+    return bpe.segmented_corpus(tokens, _bpe_full(spark, sf).words)
+
+
 # ---------------------------------------------------------------- similarity / kNN
 def _run(spark, sf, class_col=CLASS_COL, docs=None):
     d = docs if docs is not None else _docs(spark, sf, class_col)
