@@ -40,7 +40,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return packing.pack(docs, ranks, public_tokenizers.PATTERN)
+    added = packing.read_added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, ranks, public_tokenizers.PATTERN, added=added)
 
 
 STAGES = [

@@ -22,6 +22,7 @@ repeat are packed each; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections import defaultdict
@@ -46,15 +47,25 @@ Patterns = list[tuple[tuple[int, ...], int]]
 _ENCODERS: dict[tuple, object] = {}
 
 
-def _encoder(shared, pattern: str):
+def read_added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of a tokenizers JSON file. They are found in a text as they are written;
+    options that would take in their surroundings are refused."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t[o] for t in added for o in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens with single_word, lstrip, rstrip or normalized are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
+def _encoder(shared, pattern: str, added: dict[str, int]):
     """One encoder per worker process and vocabulary."""
     import tiktoken
 
     ranks = shared.value
-    key = (len(ranks), hash(frozenset(ranks.items())), pattern)
+    key = (len(ranks), hash(frozenset(ranks.items())), pattern, frozenset(added.items()))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODERS[key]
 
 
@@ -67,19 +78,21 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def token_pieces(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id: int, capacity: int, with_ids: bool = False,
+                 added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every document; the vocabulary (a
-    file of fixed size) is broadcast."""
+    file of fixed size) is broadcast. An ``added`` token in a text is its id; without them its
+    letters are encoded like any others."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
-        encoder = _encoder(shared, pattern)
+        encoder = _encoder(shared, pattern, added or {})
         for batch in batches:
             for lo, _, part in text_chunks(batch.column(1)):
                 rows, crc, tokens = [], [], []
                 for i, text in enumerate(part, lo):
-                    ids = np.append(encoder.encode_to_numpy(text, disallowed_special=()), end_id).astype("<u4")
+                    ids = np.append(encoder.encode_to_numpy(text, allowed_special="all", disallowed_special=()), end_id).astype("<u4")
                     for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                         rows.append((i, piece, start, length))
                         own = ids[start:start + length]
@@ -202,9 +215,10 @@ def with_ranks(pieces: DataFrame) -> DataFrame:
             .select(*names, (F.col("first") + F.col("k")).alias("rank")))
 
 
-def pack(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_id: int = 2, capacity: int = 1024,
+         added: dict[str, int] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    pieces = stored(token_pieces(docs, ranks, pattern, end_id, capacity), "pieces")
+    pieces = stored(token_pieces(docs, ranks, pattern, end_id, capacity, added=added), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     shared = docs.sparkSession.sparkContext.broadcast(slots(solve(counts, capacity)))
 

@@ -16,6 +16,8 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 
 #: Rank file of the registered token queries; the split pattern comes with it.
 RANK_FILE = "byte_bpe_50k.tiktoken"
+#: The same vocabulary as a tokenizers file, which has the added tokens.
+JSON_FILE = "byte_bpe_50k.json"
 
 
 def _vocabulary(name: str = RANK_FILE) -> tuple[dict[bytes, int], str]:
@@ -67,7 +69,10 @@ def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), *_vocabulary())
+    import public_tokenizers
+
+    added = packing.read_added_tokens(public_tokenizers.path(JSON_FILE))
+    return packing.pack(read_table(spark, sf_dir, "documents"), *_vocabulary(), added=added)
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
