@@ -33,8 +33,11 @@ def row_key() -> list[Column]:
     return [F.col("doc_id").alias("k_id"), F.xxhash64(text_or_empty()).alias("k_text")]
 
 
-def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the documents named in ``rejected`` (k_id, k_text); columns unchanged."""
+def drop_rows(docs: DataFrame, rejected: DataFrame, *others: str) -> DataFrame:
+    """``docs`` without the documents named in ``rejected`` (k_id, k_text, and ``others``, columns
+    of both); columns unchanged."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     same = docs["doc_id"].eqNullSafe(rejected["k_id"]) & (F.xxhash64(text) == rejected["k_text"])
+    for c in others:
+        same = same & docs[c].eqNullSafe(rejected[c])
     return docs.join(rejected, same, "left_anti")

@@ -126,7 +126,7 @@ def prior_strength(mean: float, between: float) -> float:
 
 
 def host_rules(docs: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
-    """One row per document: k_id, k_text, the counts, base_failed, soft_failed, kept."""
+    """One row per document: k_id, k_text, host, the counts, base_failed, soft_failed, kept."""
     judged = with_verdicts(stored(rule_counts(docs), "rule-counts"))
     strict = [f"strict_{r}" for r in SOFT_RULES]
     hosts = stored(host_verdicts(judged, host_rate).where(" OR ".join(strict))
@@ -138,5 +138,5 @@ def host_rules(docs: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
     joined = judged.join(hosts, judged["host"].eqNullSafe(hosts["v_host"]), "left")
     return (joined.withColumn("soft_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & ~F.col("soft_failed"))
-            .select("k_id", "k_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            .select("k_id", "k_text", judged["host"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "soft_failed", "kept"))
