@@ -1,7 +1,7 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
 A logistic model over text statistics gives every document a probability of good quality; it
-is fitted on a bounded sample of labelled rows. The probabilities are added up per path
+is fitted on all labelled rows by Newton steps whose sums Spark adds up. The probabilities are added up per path
 (host and section) and per host. A host's rate is shrunk towards the global one, and a path's
 towards its host's, each with a beta prior whose strength is fitted to the spread at that
 level, so a sparse site says little more than its parent. The verdict adds the site's log
@@ -30,8 +30,6 @@ from .common import row_key, stored, text_or_empty
 from .rules import prior_strength
 from .shingles import chunks, utf8_buffers, word_hashes
 
-#: Labelled rows for the fit: those with the smallest hashes of doc_id.
-TRAIN_ROWS = 5_000
 FEATURES = ("log_words", "word_length", "upper", "digits", "marks", "symbols", "other", "lines", "distinct", "short", "repeated")
 _B = np.arange(256)
 _GROUPS = [(_B >= 65) & (_B <= 90), (_B >= 48) & (_B <= 57), np.isin(_B, list(b".,;:!?'\"")), np.isin(_B, list(b"#*$%&|<>=~^_{}[]\\/@+")),
@@ -56,15 +54,45 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(count), letters / words, *share, distinct, short, repeated], axis=1)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[float, np.ndarray]:
-    """Intercept and weights for unscaled features, by Newton steps on the penalised likelihood."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
-    w, penalty = np.zeros(z.shape[1]), np.r_[1e-6, np.full(x.shape[1], ridge)]
-    for _ in range(rounds):
+def _sums(labelled: DataFrame, of) -> np.ndarray:
+    """of(x, y), an array of numbers, added up over the tasks' batches of all rows; one row per
+    task reaches the driver."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(0).flatten().to_numpy().reshape(-1, len(FEATURES))
+                part = of(x, batch.column(1).to_numpy())
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    rows = labelled.select("x", "y").mapInArrow(run, "s array<double>").collect()
+    return np.sum([r["s"] for r in rows], axis=0) if rows else np.zeros(0)
+
+
+def fit_logistic(labelled: DataFrame, ridge: float = 1.0, rounds: int = 25) -> tuple[float, np.ndarray]:
+    """Intercept and weights for unscaled features, by Newton steps on the penalised likelihood of
+    all rows (x, y); zeros without labels of both kinds."""
+    k = len(FEATURES)
+    r = labelled.agg(F.min("y").alias("least"), F.max("y").alias("most"), F.count(F.lit(1)).alias("n")).first()
+    if not r["n"] or not r["least"] < 0.5 <= r["most"]:
+        return 0.0, np.zeros(k)
+    mean = _sums(labelled, lambda x, y: x.sum(axis=0)) / r["n"]
+    scale = np.sqrt(_sums(labelled, lambda x, y: ((x - mean) ** 2).sum(axis=0)) / r["n"]) + 1e-9
+    w, penalty = np.zeros(k + 1), np.r_[1e-6, np.full(k, ridge)]
+
+    def step_sums(x, y):
+        z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (y - p) - penalty * w
-        w = w + np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty), slope)
+        return np.concatenate([z.T @ (y - p), ((z * (p * (1 - p) + 1e-9)[:, None]).T @ z).ravel()])
+
+    for _ in range(rounds):
+        sums = _sums(labelled, step_sums)
+        step = np.linalg.solve(sums[k + 1:].reshape(k + 1, k + 1) + np.diag(penalty), sums[:k + 1] - penalty * w)
+        w = w + step
+        if np.abs(step).max() < 1e-10:
+            break
     return float(w[0] - (w[1:] * mean / scale).sum()), w[1:] / scale
 
 
@@ -94,12 +122,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, site_weight: float = 1.0,
                               text_or_empty().alias("t"))
                   .mapInArrow(_measure, "k_id long, k_text long, host string, path string, x array<double>"), "text-statistics")
     truth = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("y"))
-    sample = (rows.join(truth, F.col("k_id") == F.col("doc_id")).select("k_id", "x", "y")
-              .orderBy(F.xxhash64("k_id"), "k_id").limit(TRAIN_ROWS).collect())  # bounded by TRAIN_ROWS
-    y = np.array([r["y"] for r in sample])
-    start, weights = 0.0, np.zeros(len(FEATURES))
-    if len(y) and y.min() < 0.5 <= y.max():
-        start, weights = fit_logistic(np.array([r["x"] for r in sample]), y)
+    start, weights = fit_logistic(stored(rows.join(truth, F.col("k_id") == F.col("doc_id")).select("x", "y"), "labelled-statistics"))
     logit = F.lit(start)
     for i, w in enumerate(weights):
         logit = logit + F.col("x")[i] * F.lit(float(w))
