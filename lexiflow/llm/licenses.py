@@ -8,7 +8,7 @@ exactly. The longest accepted reading counts.
 
 Texts become arrays of word hashes batch by batch; all words outside the phrases and
 templates are one token. Phrases are found by comparing neighbouring tokens of the whole
-batch; automata run from words that can begin a template, in texts that hold every word the
+batch; automata run from words that can begin a template, or so many any-words before them, in texts that hold every word the
 template can't do without.
 
 ``score`` is 0 without a label, 0.5 if only phrases were found, and else the largest share of
@@ -84,6 +84,17 @@ class Automaton:
                 todo.append(x)
         return out
 
+    def starts(self) -> set[tuple[int, str]]:
+        """(any-words before it, first literal word) of all readings."""
+        out: set[tuple[int, str]] = set()
+        now, before = self.closed({0}), 0
+        while now:
+            if before and self.accept in now:
+                raise ValueError("a template that any words fulfil")
+            out |= {(before, w) for s in now for w in self.literal[s]}
+            now, before = self.closed({to for s in now for to in self.anyword[s]}), before + 1
+        return out
+
     def read(self, tokens: list[str], at: int) -> tuple[int, int] | None:
         """(words, literal words) of the longest accepted reading from ``at``; of readings of
         that length the one with most literal words."""
@@ -156,7 +167,10 @@ class Scanner:
         self.hashes, self.ids = hashes[order], order + 1
         number = {w: i for i, w in enumerate(self.words)}
         self.phrases = [(label, np.array([number[w] for w in p.split()])) for p, label in phrases.items()]
-        self.starts = {name: np.array(sorted({number[w] for s in a.closed({0}) for w in a.literal[s]})) for name, a in self.automata.items()}
+        self.starts: dict[str, dict[int, np.ndarray]] = {}
+        for name, a in self.automata.items():
+            first = a.starts()
+            self.starts[name] = {n: np.array(sorted(number[w] for m, w in first if m == n)) for n in sorted({m for m, _ in first})}
         self.needed = {name: [number[w] for w in sorted(a.needed)] for name, a in self.automata.items()}
 
     def tokens(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,8 +201,9 @@ class Scanner:
             for name, a in self.automata.items():
                 if there.issuperset(self.needed[name]):
                     texts = texts or [self.words[i] for i in ids.tolist()]
-                    for p in np.flatnonzero(np.isin(ids, self.starts[name])).tolist():
-                        if (found := a.read(texts, p)) and found[0]:
+                    begins = [np.flatnonzero(np.isin(ids, first)) - n for n, first in self.starts[name].items()]
+                    for p in np.unique(np.concatenate(begins)).tolist() if begins else ():
+                        if p >= 0 and (found := a.read(texts, p)) and found[0]:
                             out[d]["matches"].append((name, p, *found))
         return out
 
