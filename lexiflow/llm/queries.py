@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import bpe, exact_dedup, langid, licenses, minhash, packing, pii, quality, rules, urls
+from . import bpe, clusters, exact_dedup, langid, licenses, minhash, packing, pii, quality, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -99,6 +99,10 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept", "soft_failed")
 
 
+def op13_hilbert_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii_crf": op2_pii_crf,
@@ -110,6 +114,7 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_language_codes": op9_language_codes,
     "op10_host_rules": op10_host_rules,
+    "op13_hilbert_clusters": op13_hilbert_clusters,
 }
 
 _OP3 = """
@@ -185,8 +190,36 @@ FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
 
 
+def _op13(k: int = 16, rounds: int = 3) -> str:
+    """All vectors against all centroids, round by round."""
+    nearest = """
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d) AS d, arg_min(c, d * 1000 + c) AS c
+  FROM (SELECT q.*, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i]))) AS d FROM q, c{i}) GROUP BY rid"""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"a{i} AS ({nearest.format(i=i)})")
+        steps.append(f"""s{i} AS (
+  SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i)""")
+        steps.append(f"""c{i + 1} AS (
+  SELECT c{i}.c, coalesce(f.m, c{i}.m) AS m FROM c{i} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM s{i} GROUP BY c) f USING (c))""")
+    return f"""
+WITH q AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c, v AS m FROM q QUALIFY c < {k}),
+{", ".join(steps)},
+last AS ({nearest.format(i=rounds)})
+SELECT vec_id, last.c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY last.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} ON last.c = c{rounds}.c
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": _OP3,
     "op7_url_filters": _OP7,
     "op10_host_rules": _op10(),
+    "op13_hilbert_clusters": _op13(),
 }
