@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.sources.tables import read_table
 
-from . import bpe, clusters, exact_dedup, langid, licenses, minhash, packing, pii, quality, rules, urls
+from . import bpe, chat, clusters, exact_dedup, langid, licenses, minhash, packing, pii, quality, repair, rules, urls
 
 #: Rules of the registered url query: (action, host and path).
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -99,6 +99,22 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_repeat_words", "base_failed", "kept", "soft_failed")
 
 
+#: The further conversation of the chat query: its texts are made of control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    further = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{CONTROL_TEXT}'), (-1L, 1L, 'assistant', '{CONTROL_TEXT}') "
+                        "AS t(conv_id, turn, role, text)")
+    formatted = chat.format_turns(turns.union(further), *_vocabulary())
+    return chat.conversation_digests(chat.read_turns(formatted, *_vocabulary()))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_hilbert_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster(read_table(spark, sf_dir, "embeddings"))
 
@@ -114,6 +130,8 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_language_codes": op9_language_codes,
     "op10_host_rules": op10_host_rules,
+    "op11_chat_format": op11_chat_format,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_hilbert_clusters": op13_hilbert_clusters,
 }
 
@@ -190,6 +208,24 @@ FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
 
 
+_CONTROL_HEADS = (r"(<)(\\*/s>)", r"(\[)(\\*/?(?:INST|SYS|ROLE)\])")
+_ESCAPED = "regexp_replace(regexp_replace({0}, '" + _CONTROL_HEADS[0] + "', '\\1\\\\\\2', 'g'), '" + _CONTROL_HEADS[1] + "', '\\1\\\\\\2', 'g')"
+_OP11 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+marked AS (
+  SELECT *, length({_ESCAPED.format('t')}) + CASE role WHEN 'user' THEN length('[INST][/INST]') WHEN 'system' THEN length('[SYS][/SYS]')
+         WHEN 'assistant' THEN length('</s>') ELSE length({_ESCAPED.format('role')}) + length('[ROLE][/ROLE]</s>') END AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
+       coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 def _op13(k: int = 16, rounds: int = 3) -> str:
     """All vectors against all centroids, round by round."""
     nearest = """
@@ -221,5 +257,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": _OP3,
     "op7_url_filters": _OP7,
     "op10_host_rules": _op10(),
+    "op11_chat_format": _OP11,
     "op13_hilbert_clusters": _op13(),
 }
