@@ -33,11 +33,17 @@ def row_key() -> list[Column]:
     return [F.col("doc_id").alias("k_id"), F.xxhash64(text_or_empty()).alias("k_text")]
 
 
-def drop_rows(docs: DataFrame, rejected: DataFrame, *others: str) -> DataFrame:
-    """``docs`` without the documents named in ``rejected`` (k_id, k_text, and ``others``, columns
-    of both); columns unchanged."""
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has (letters of either case)."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the documents named in ``rejected`` (k_id, k_text); columns unchanged. The keys
+    are the hashed side of the join, so no text is sorted."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     same = docs["doc_id"].eqNullSafe(rejected["k_id"]) & (F.xxhash64(text) == rejected["k_text"])
-    for c in others:
-        same = same & docs[c].eqNullSafe(rejected[c])
-    return docs.join(rejected, same, "left_anti")
+    return docs.join(rejected.hint("shuffle_hash"), same, "left_anti")

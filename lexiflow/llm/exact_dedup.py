@@ -15,7 +15,8 @@ frozen as the next one.
 
 Defined cases: a null text counts as empty; a null doc_id is smaller than any other; rows that
 repeat doc_id and text are one document listed twice: they count in group_size and carry
-the same verdict; an empty table gives an empty result; other columns are ignored.
+the same verdict; texts of any length are compared whole; an empty table gives an empty result;
+other columns are ignored, and ``keep_one`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_rows, row_key, stored, text_or_empty
+from .common import drop_rows, free_name, row_key, stored, text_or_empty
 
 #: Distinct digests per filter (about 1.13 bytes each), and the least number of filters.
 KEYS_PER_FILTER = 20_000
@@ -204,7 +205,7 @@ def keep_one(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
                    .select("k_id", "k_text"), "listed-twice")
     if twice.isEmpty():
         return out
-    columns = docs.columns
     same = F.col("doc_id").eqNullSafe(twice["k_id"]) & (F.xxhash64(text_or_empty()) == twice["k_text"])
-    listed = out.join(twice, same, "left_semi").withColumn("whole_text_key", text_or_empty())
-    return drop_rows(out, twice).unionByName(listed.dropDuplicates(["doc_id", "whole_text_key"]).select(*columns))
+    name = free_name(docs, "whole_text_key")
+    listed = out.join(twice, same, "left_semi").withColumn(name, text_or_empty()).dropDuplicates(["doc_id", name])
+    return drop_rows(out, twice).unionByName(listed.drop(name))

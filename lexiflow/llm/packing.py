@@ -5,10 +5,11 @@ depends on their lengths only, so the packing is solved on the histogram of leng
 most ``capacity`` numbers, whatever the size of the corpus):
 
 1. Reduction (Martello and Toth): for a piece and every set of pieces that fits beside it,
-   a set that dominates all others is fixed for good: the piece alone if nothing fits, the
-   piece with an exactly filling partner, and the piece with its largest fitting partner
-   if only one piece fits, or if no fitting pair is larger than that partner. Each rule
-   is applied to as many equal pieces at once as it holds for, until none holds.
+   a set that dominates all others is fixed for good: the piece alone if nothing fits, else the
+   piece with its largest fitting partner, if no set of two or more pieces that fits is larger than
+   that partner (such a set could give up its place to the partner piece by piece). The sums
+   that sets of any number of pieces can have are worked out as bits of a whole number. The rule
+   is applied to as many equal pieces at once as it holds for, until it holds for none.
 2. What remains is packed by best fit, longest first, again equal pieces together.
 
 The solution is a list of patterns (lengths, number of sequences). Every piece gets a rank
@@ -16,8 +17,10 @@ among the pieces of its length and takes the pattern slot of that rank. Ranks ar
 inside hashed parts of a length plus the sizes of the parts before, so a length with a
 third of all pieces is ranked by many tasks.
 
-Defined cases: a null text counts as empty, its document is the end token alone; rows that
-repeat are packed each; an empty table gives an empty result; other columns are ignored.
+Defined cases: a null text counts as empty, its document is the end token alone; very long texts
+are cut into pieces; pieces of one length are ranked by doc_id, piece, start and checksum, ties are
+equal rows; rows that repeat are packed each; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -132,9 +135,8 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[Patterns
         sizes = sorted(x for x in left if x <= room and left[x] > (x == w))
         if not sizes:
             return (w,), left[w]
-        twice = {x for x in sizes if left[x] > 1 + (x == w)}
         best = sizes[-1]
-        if best == room or best >= _best_pair(sizes, twice, room):
+        if best == room or not _sum_between(sizes, [left[x] - (x == w) for x in sizes], best, room):
             return (w, best), left[w] // 2 if best == w else min(left[w], left[best])
         return None
 
@@ -148,17 +150,20 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[Patterns
     return fixed, left
 
 
-def _best_pair(sizes: list[int], twice: set[int], room: int) -> int:
-    """Largest sum of two pieces within ``room``, or 0; two of one size only where there are two."""
-    best, hi = 0, len(sizes) - 1
-    for lo, a in enumerate(sizes):
-        while hi >= 0 and a + sizes[hi] > room:
-            hi -= 1
-        k = hi if hi != lo or a in twice else hi - 1
-        if k < 0:
-            continue
-        best = max(best, a + sizes[k])
-    return best
+def _sum_between(sizes: list[int], counts: list[int], low: int, high: int) -> bool:
+    """Whether some pieces have a sum above ``low`` and up to ``high``; no single piece has."""
+    if sizes[0] + sizes[0 if counts[0] > 1 or len(sizes) < 2 else 1] > high:
+        return False
+    sums, within, wanted = 1, (1 << (high + 1)) - 1, (1 << (high + 1)) - (1 << (low + 1))
+    for size, n in zip(reversed(sizes), reversed(counts)):  # bit k of sums: some pieces have the sum k
+        n, times = min(n, high // size), 1
+        while n:
+            times = min(times, n)
+            sums |= sums << size * times & within
+            n, times = n - times, 2 * times
+        if sums & wanted:
+            return True
+    return False
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Patterns:

@@ -199,8 +199,8 @@ prior AS (
   SELECT total.*, {", ".join(f"CASE WHEN v_{r} <= 0 THEN 1e6 ELSE least(1e6, greatest(2.0, "
                              f"m_{r} * (1 - m_{r}) / v_{r} - 1)) END AS s_{r}" for r in soft)} FROM total, spread),
 verdicts AS (
-  SELECT hosts.source, {", ".join(f"(k_{r} + m_{r} * s_{r}) / (hosts.n + s_{r}) >= {rules.HOST_RATE} AS strict_{r}"
-                                  for r in soft)} FROM hosts, prior)
+  SELECT source, {", ".join(f"rate_{r} * (1 - m_{r}) > {rules.HOST_ODDS} * m_{r} * (1 - rate_{r}) AS strict_{r}" for r in soft)}
+  FROM (SELECT hosts.source, prior.*, {", ".join(f"(k_{r} + m_{r} * s_{r}) / (hosts.n + s_{r}) AS rate_{r}" for r in soft)} FROM hosts, prior))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({" OR ".join(f"(fail_{r} AND strict_{r})" for r in soft)}) AS kept,
        ({" OR ".join(f"(fail_{r} AND strict_{r})" for r in soft)}) AS soft_failed

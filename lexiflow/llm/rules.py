@@ -3,25 +3,28 @@
 Each document gets exact counts and a verdict per rule. Failures are added up per host,
 every host's failure rate of a rule is shrunk towards the rate of all hosts with a beta
 prior fitted to the spread between hosts, and the host verdicts go back to the documents:
-a document is rejected by a base rule, or by a soft rule that its host fails as a habit.
-A soft failure on a host with a low rate is forgiven, and a document without any failure
-stays whatever its host.
+a document is rejected by a base rule, or by a soft rule that its host fails as a habit, that is
+with posterior odds of more than ``HOST_ODDS`` times the prior odds. A soft failure on a host
+like the others is forgiven, and a document without any failure stays whatever its host.
 
 Only DataFrame functions are used. The one pass over the texts writes a narrow table
 (one row of numbers per document); hosts are added up with partial aggregation, so a host
 with a third of all rows costs one row per task.
 
-Defined cases: a null text counts as empty (no words, base failure); a null host is a host
-of its own; repeated rows count each; an empty table gives an empty result; other columns
-of the input are ignored.
+Defined cases: a null text counts as empty (no words, base failure); texts of any length are
+counted whole; a null host is a host of its own; repeated rows count each; a host whose odds equal
+the bound is not strict; an empty table gives an empty result; other columns of the input are
+ignored, and ``kept_documents`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, row_key, stored, text_or_empty
+from .common import SPACE, free_name, let, row_key, stored, text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -32,8 +35,8 @@ SOFT_RULES = {
     "lines": "100 * n_dup_lines > 30 * n_lines",
     "length": "word_chars < 3 * n_words OR word_chars > 12 * n_words",
 }
-#: A host is strict for a rule from this shrunk failure rate on.
-HOST_RATE = 0.5
+#: A host is strict for a rule if the odds of its shrunk failure rate exceed the prior's this many times.
+HOST_ODDS = 2.0
 
 
 def _repeat_words(words: Column) -> Column:
@@ -64,8 +67,8 @@ def _repeat_words(words: Column) -> Column:
     return let(let(place(words), repeated), covered)
 
 
-def rule_counts(docs: DataFrame) -> DataFrame:
-    """k_id, k_text, host and the counts of every document (one pass, no shuffle)."""
+def _counts() -> list[Column]:
+    """host and the counts of a document."""
     text = text_or_empty()
     words = F.array_remove(F.split(text, f"[{SPACE}]+"), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
@@ -76,9 +79,13 @@ def rule_counts(docs: DataFrame) -> DataFrame:
     line_counts = let(lines, lambda x: F.struct(
         F.size(x).cast("long").alias("n_lines"),
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    return (docs.select(*row_key(), F.col("source").alias("host"), counts.alias("c"), line_counts.alias("l"),
-                        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"))
-            .select("k_id", "k_text", "host", "c.*", "l.*", "n_symbols"))
+    return [F.col("source").alias("host"), counts.alias("c"), line_counts.alias("l"),
+            F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols")]
+
+
+def rule_counts(docs: DataFrame) -> DataFrame:
+    """k_id, k_text, host and the counts of every document (one pass, no shuffle)."""
+    return docs.select(*row_key(), *_counts()).select("k_id", "k_text", "host", "c.*", "l.*", "n_symbols")
 
 
 def with_verdicts(counts: DataFrame) -> DataFrame:
@@ -90,7 +97,7 @@ def with_verdicts(counts: DataFrame) -> DataFrame:
     return out
 
 
-def host_verdicts(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
+def host_verdicts(judged: DataFrame, host_odds: float = HOST_ODDS) -> DataFrame:
     """host, n, and per soft rule rate_<rule> (shrunk) and strict_<rule>.
 
     The beta prior of a rule has the mean m of all documents and the strength
@@ -114,7 +121,7 @@ def host_verdicts(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
         between = (spread[r] or 0.0) / n_all - noise if n_all else 0.0
         strength = prior_strength(m, between)
         rate = (F.col(f"k_{r}") + F.lit(m * strength)) / (F.col("n") + F.lit(strength))
-        out += [rate.alias(f"rate_{r}"), (rate >= F.lit(host_rate)).alias(f"strict_{r}")]
+        out += [rate.alias(f"rate_{r}"), (rate * F.lit(1 - m) > F.lit(host_odds * m) * (1 - rate)).alias(f"strict_{r}")]
     return hosts.select(*out)
 
 
@@ -125,18 +132,50 @@ def prior_strength(mean: float, between: float) -> float:
     return min(1e6, max(2.0, mean * (1 - mean) / between - 1))
 
 
-def host_rules(docs: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
+def _strict_hosts(judged: DataFrame, host_odds: float) -> DataFrame:
+    strict = [f"strict_{r}" for r in SOFT_RULES]
+    return stored(host_verdicts(judged, host_odds).where(" OR ".join(strict))
+                  .select(F.col("host").alias("v_host"), *strict), "host-verdicts")
+
+
+def _any(parts: list[Column]) -> Column:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out | p
+    return out
+
+
+def host_rules(docs: DataFrame, host_odds: float = HOST_ODDS) -> DataFrame:
     """One row per document: k_id, k_text, host, the counts, base_failed, soft_failed, kept."""
     judged = with_verdicts(stored(rule_counts(docs), "rule-counts"))
-    strict = [f"strict_{r}" for r in SOFT_RULES]
-    hosts = stored(host_verdicts(judged, host_rate).where(" OR ".join(strict))
-                   .select(F.col("host").alias("v_host"), *strict), "host-verdicts")
-    soft = [F.col(f"fail_{r}") & F.coalesce(F.col(f"strict_{r}"), F.lit(False)) for r in SOFT_RULES]
-    failed = soft[0]
-    for s in soft[1:]:
-        failed = failed | s
+    hosts = _strict_hosts(judged, host_odds)
+    failed = _any([F.col(f"fail_{r}") & F.coalesce(F.col(f"strict_{r}"), F.lit(False)) for r in SOFT_RULES])
     joined = judged.join(hosts, judged["host"].eqNullSafe(hosts["v_host"]), "left")
     return (joined.withColumn("soft_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & ~F.col("soft_failed"))
             .select("k_id", "k_text", judged["host"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "soft_failed", "kept"))
+
+
+def kept_documents(docs: DataFrame, host_odds: float = HOST_ODDS) -> DataFrame:
+    """The rows of ``docs`` that ``host_rules`` keeps; columns unchanged. The counts are stored beside
+    their documents, so a verdict needs no shuffle of texts: only a document that fails a soft rule
+    and no base rule is looked up among the strict hosts."""
+    name = free_name(docs, "rule_counts")
+    counted = stored(docs.withColumn(name, F.struct(*_counts())), "counted-documents")
+    flat = counted.select(f"{name}.host", f"{name}.c.*", f"{name}.l.*", f"{name}.n_symbols")
+    site = free_name(docs, "strict_host")
+    hosts = _strict_hosts(with_verdicts(flat), host_odds)
+    hosts = hosts.select(F.struct(*hosts.columns).alias(site))
+    fields = {c: f"`{name}`.{part}{c}" for part, names in (("c.", ("n_words", "word_chars", "n_repeat_words")), ("l.", ("n_lines", "n_dup_lines")),
+                                                         ("", ("n_symbols",))) for c in names}
+    def held(sql: str) -> Column:
+        return F.expr(re.sub(r"\b(" + "|".join(fields) + r")\b", lambda m: fields[m[0]], sql))
+
+    base = held(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words")
+    soft = {r: held(sql) for r, sql in SOFT_RULES.items()}
+    passed = counted.where(~base)
+    doubtful = passed.where(_any(list(soft.values())))
+    habit = _any([soft[r] & F.col(f"{site}.strict_{r}") for r in SOFT_RULES])
+    forgiven = doubtful.join(hosts, F.col(f"{name}.host").eqNullSafe(F.col(f"{site}.v_host")) & habit, "left_anti")
+    return passed.where(~_any(list(soft.values()))).unionByName(forgiven).drop(name)

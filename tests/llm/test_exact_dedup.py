@@ -66,3 +66,15 @@ def test_one_row_of_each_group_stays(spark, awkward):
     left = [r["text"] or "" for r in kept.collect()]
     assert sorted(left) == sorted(set(texts))
     assert {r["doc_id"] for r in kept.collect()} >= {3, 2}
+
+
+def test_keep_one_keeps_columns_of_any_name(spark):
+    rows = [(1, "a a", "t"), (1, "a a", "u"), (2, "b", "v"), (None, "b", "w"), (None, None, "x"), (None, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, whole_text_key string")
+    for c in ("k_id", "k_text", "h", "sha", "t", "a b"):
+        docs = docs.withColumn(c, F.lit(c))
+    left = exact_dedup.keep_one(docs, exact_dedup.exact_dedup(docs))
+    assert left.columns == docs.columns
+    got = left.collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "2", "None"]
+    assert {(r.doc_id, r.text, r.whole_text_key) for r in got} <= set(rows) and all(r["a b"] == "a b" for r in got)

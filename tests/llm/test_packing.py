@@ -47,14 +47,30 @@ def test_patterns_use_every_piece_once():
         assert used == counts
 
 
+def exact(items):
+    fixed, left = packing.reduce_by_dominance(Counter(items), 20)
+    rest = [w for w, n in left.items() for _ in range(n)]
+    return sum(t for _, t in fixed) + (fewest(rest, 20) if rest else 0) == fewest(items, 20), len(fixed)
+
+
 def test_fixed_sets_cost_no_sequence():
     """The reduction is exact: fixed sequences + the least number for the rest = the least number for all."""
-    for seed in range(60):
+    some = 0
+    for seed in range(5000):
         r = random.Random(seed)
-        items = [r.randrange(1, 20) for _ in range(r.randrange(1, 10))]
-        fixed, left = packing.reduce_by_dominance(Counter(items), 20)
-        rest = [w for w, n in left.items() for _ in range(n)]
-        assert sum(t for _, t in fixed) + (fewest(rest, 20) if rest else 0) == fewest(items, 20)
+        least = r.choice([1, 2, 3, 5])
+        same, n = exact([r.randrange(least, r.choice([8, 12, 20])) for _ in range(r.randrange(6, 13))])
+        assert same, seed
+        some += n
+    assert some > 5000  # patterns fixed
+
+
+def test_a_set_of_three_is_not_dominated_by_a_pair():
+    items = [10, 8, 3, 3, 3, 4, 4, 4]
+    assert exact(items)[0]
+    fixed, _ = packing.reduce_by_dominance(Counter(items), 20)
+    assert (10, 8) not in [f for f, _ in fixed]
+    assert sum(t for _, t in packing.solve(Counter(items), 20)) <= 3
 
 
 def test_cut():
@@ -64,7 +80,6 @@ def test_cut():
 def check(rows, texts, capacity=1024):
     """Pieces cover every document, sequences are gapless, and few."""
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
     ids = [[*lib.encode(t or "", add_special_tokens=False).ids, 2] for _, t in texts]
     want = Counter((d, k, s, n, zlib.crc32(np.array(x[s:s + n], "<u4").tobytes()))
                    for (d, _), x in zip(texts, ids) for k, (s, n) in enumerate(packing.cut(len(x), capacity)))
@@ -91,7 +106,8 @@ def test_table(spark):
 def test_awkward_rows(spark, awkward, nothing, monkeypatch, together):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", together)
     docs = awkward.union(texts_frame(spark, [(99, "<|endoftext|> " + " " * 5000 + "ab" * 9000, None, None)] * 7))
-    check(packing.pack(docs, RANKS, P.PATTERN).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()])
+    added = packing.read_added_tokens(P.path("byte_bpe_50k.json"))
+    check(packing.pack(docs, RANKS, P.PATTERN, added=added).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()])
     assert packing.pack(nothing, RANKS, P.PATTERN).collect() == []
 
 

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
 
 from lexiflow.llm import queries, rules
 
@@ -51,6 +52,38 @@ def test_host_habit_rejects_and_lone_failure_is_forgiven(spark):
     assert not any(got[1000 + i].kept for i in range(60))
 
 
+def test_a_bad_host_at_an_ordinary_rate_is_rejected(spark):
+    """A quarter of one host's documents fail a soft rule, one in fifty elsewhere; the query's SQL agrees."""
+    text = lambda i, bad: " ".join([f"w{i}x{j}" for j in range(60)] + ["#"] * (12 * bad))
+    rows = [(i, text(i, i % 50 == 0), "en", f"h{i % 8}") for i in range(1600)]
+    rows += [(5000 + i, text(5000 + i, i % 4 == 0), "en", "bad") for i in range(200)]
+    docs = texts_frame(spark, rows)
+    got = {r.k_id: r.kept for r in rules.host_rules(docs).collect()}
+    assert {i for i, kept in got.items() if not kept} == {5000 + i for i in range(0, 200, 4)}
+    assert {r.doc_id for r in rules.kept_documents(docs).collect()} == {i for i, kept in got.items() if kept}
+    con = duckdb.connect()
+    frame = docs.toPandas()  # noqa: F841
+    con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+    assert dict(con.execute(f"SELECT doc_id, kept FROM ({queries.ORACLE_SQL['op10_host_rules']})").fetchall()) == got
+
+
+def test_kept_documents_keep_clashing_columns(spark, awkward, nothing):
+    names = ["k_id", "t", "h", "n", "c", "l", "rule_counts", "v_host", "n_words", "a b", "strict_lines"]
+    docs = awkward
+    for c in names:
+        docs = docs.withColumn(c, F.lit(c))
+    left = rules.kept_documents(docs)
+    assert left.columns == docs.columns and all(r[c] == c for r in left.collect() for c in names)
+    verdicts = rules.host_rules(docs)
+    assert sorted(map(str, (r["doc_id"] for r in left.collect()))) == sorted(map(str, (r.k_id for r in verdicts.collect() if r.kept)))
+    assert rules.kept_documents(nothing).collect() == []
+
+
+def test_no_document_is_shuffled_for_a_verdict(spark):
+    plan = rules.kept_documents(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_only_spark_functions(spark):
     plan = queries.op10_host_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
