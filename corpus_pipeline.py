@@ -9,7 +9,6 @@ rules; rows that repeat a document end as one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexiflow.llm import bpe, exact_dedup, minhash, packing, pii, rules
 from lexiflow.llm.common import drop_rows, stored
@@ -19,8 +18,7 @@ from lexiflow.sources.tables import read_table
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the habits of their host; one that is listed under
     several hosts is judged for each."""
-    rejected = rules.host_rules(docs).where("NOT kept").select("k_id", "k_text", F.col("host").alias("source"))
-    return drop_rows(docs, stored(rejected, "rejected"), "source")
+    return rules.kept_documents(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
