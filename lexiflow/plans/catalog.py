@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
-from ..functions.vectors import cosine_arrays, dot_arrays, norm_array
-from ..operators import bpe, folds as fo, knn, metrics as me, scoring, similarity as si, tfidf as tf
+from ..operators import bpe, dense, folds as fo, knn, metrics as me, scoring, similarity as si, simjoin, tfidf as tf
+from ..operators.cells import dot_measure
 from ..session import stored_folder
 from ..sources import corpus
 from ..sources.tables import conversation_corpus, labelled_documents, read_table
@@ -31,8 +31,10 @@ EOW = "_"
 BPE_MERGES = 20  # of the queries whose SQL unrolls the merges
 BPE_FULL_MERGES = 10_000  # the reference's default, for the queries named ..._full
 WIDE_TERMS = 8
+JOIN_MIN_SIM = 0.4  # of the similarity join
 PAD_MAX_LENGTH = 256
 STEM_LENGTH = 5
+QUERY_EVERY = 20  # vectors whose id is divisible by it are the queries
 SKIPPED_FOLD = 3  # the fold without a model in batch_score
 # A second stop list that does hit the (mostly English/French/German/Spanish) test corpus.
 EXTRA_STOP_WORDS = ("the", "of", "and", "le", "la", "de", "der", "und", "el", "y")
@@ -242,6 +244,12 @@ def q_all_pairs_similarity(spark, sf):
     return si.all_pairs_similarity(m.tfidf, folds).select("lo", "hi", "dot", "sim")
 
 
+def q_similarity_join(spark, sf):
+    """Pairs of documents from different folds with a cosine of at least JOIN_MIN_SIM."""
+    folds = fo.stratified_folds(_docs(spark, sf), N_FOLDS, SEED)
+    return simjoin.similarity_join(_model(spark, sf).tfidf, JOIN_MIN_SIM, folds)
+
+
 def q_query_similarity(spark, sf):
     m = _model(spark, sf)
     bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
@@ -414,29 +422,35 @@ def q_metrics_csv_round_trip(spark, sf):
 
 
 # ---------------------------------------------------------------- dense vectors (embeddings)
-def _emb_with_query(spark, sf):
+def _embeddings(spark, sf):
+    """All vectors, those that are queries (every QUERY_EVERY-th id) and k."""
     e = read_table(spark, sf, "embeddings")
-    first = e.select(F.min("vec_id")).scalar()
-    qvec = e.where(F.col("vec_id") == first).select(F.first("embedding")).scalar()
-    return e, first, qvec
+    return e, e.where(F.col("vec_id") % QUERY_EVERY == 0), knn.k_from_size(e.count() - 1)
 
 
 def q_dot_product_arrays(spark, sf):
-    e, first, qvec = _emb_with_query(spark, sf)
-    e = e.withColumn("_qv", qvec)
-    return e.select("vec_id", F.round(dot_arrays(F.col("embedding"), F.col("_qv")), 6).alias("dot"))
+    """The k largest dot products of every query vector."""
+    e, queries, k = _embeddings(spark, sf)
+    return dense.top_k(queries, e, k, dot_measure, digits=6).select("q", "rank", F.col("t").alias("vec_id"), F.col("sim").alias("dot"))
 
 
 def q_cosine_embeddings(spark, sf):
-    e, first, qvec = _emb_with_query(spark, sf)
-    e = e.withColumn("_qv", qvec)
-    return e.select("vec_id", "label", F.round(norm_array(F.col("embedding")), 6).alias("norm"),
-                    F.round(cosine_arrays(F.col("embedding"), F.col("_qv")), 6).alias("sim"))
+    """The k most similar vectors of every query vector, with their lengths."""
+    e, queries, k = _embeddings(spark, sf)
+    return dense.top_k(queries, e, k, digits=6).select("q", "rank", F.col("t").alias("vec_id"), F.round("norm", 6).alias("norm"), "sim")
 
 
 def q_knn_embeddings(spark, sf):
-    e, first, qvec = _emb_with_query(spark, sf)
-    return scoring.dense_query_knn(e, first, qvec)
+    """Neighbours and predicted label of every query vector."""
+    e, queries, k = _embeddings(spark, sf)
+    return dense.knn(queries, e, k)
+
+
+def q_knn_one_embedding(spark, sf):
+    """Neighbours and predicted label of one new vector, the one with the smallest id."""
+    e = read_table(spark, sf, "embeddings")
+    first = e.select(F.min("vec_id")).scalar()
+    return scoring.dense_query_knn(e, first, e.where(F.col("vec_id") == first).select(F.first("embedding")).scalar())
 
 
 # ---------------------------------------------------------------- folds

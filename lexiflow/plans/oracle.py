@@ -176,15 +176,22 @@ def bpe_ctes(mode: str) -> tuple[str, ...]:
 
 
 EMB = ("e AS (SELECT vec_id, embedding, label FROM embeddings)",
-       "qv AS (SELECT embedding AS qe, vec_id AS qid FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))",
-       """ev AS (SELECT e.vec_id, e.label, e.embedding, qv.qid,
+       f"qv AS (SELECT embedding AS qe, vec_id AS q FROM e WHERE vec_id % {C.QUERY_EVERY} = 0)",
+       """ev AS (SELECT e.vec_id, e.label, e.embedding, qv.q,
         list_reduce(list_transform(range(1, least(len(e.embedding), len(qv.qe)) + 1),
             lambda i: CAST(e.embedding[i] AS DOUBLE) * CAST(qv.qe[i] AS DOUBLE)), lambda x, y: x + y) AS dot,
         sqrt(list_reduce(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), lambda x, y: x + y)) AS ne,
         sqrt(list_reduce(list_transform(qv.qe, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), lambda x, y: x + y)) AS nq
-    FROM e, qv)""",
+    FROM e, qv WHERE e.vec_id <> qv.q)""",
+       "ek AS (SELECT CAST(floor(sqrt(count(*) - 1)) AS BIGINT) AS k FROM e)",
        "es AS (SELECT *, CASE WHEN ne * nq = 0 THEN 0.0 ELSE dot / (ne * nq) END AS cos FROM ev)")
 
+
+def _nearest(value: str) -> str:
+    return f"""top AS (SELECT q, vec_id, label, round(ne, 6) AS norm, {value} AS sim,
+        CAST(row_number() OVER (PARTITION BY q ORDER BY {value} DESC, vec_id) AS INTEGER) AS rank FROM es QUALIFY rank <= (SELECT k FROM ek))"""
+
+
 BENCH_MODEL = ("bd AS (SELECT item_id AS doc_id, text FROM benchmark)", token_ctes("b", "bd"))
 
 
@@ -320,14 +327,16 @@ qp2 AS (SELECT q, t_class AS predicted FROM qv QUALIFY row_number() OVER (PARTIT
     FROM pdot JOIN nrm n1 ON n1.doc_id = pdot.lo JOIN nrm n2 ON n2.doc_id = pdot.hi)"""
     q["knn_library_stored"] = _with(*MODEL, folds_ctes(), pairs_ctes(), nine, knn_ctes(sim_table="nsim")) + \
         "SELECT doc_id, fold, actual, predicted FROM preds"
-    q["dot_product_arrays"] = _with(*EMB) + "SELECT vec_id, round(dot, 6) AS dot FROM es"
-    q["cosine_embeddings"] = _with(*EMB) + "SELECT vec_id, label, round(ne, 6) AS norm, round(cos, 6) AS sim FROM es"
-    q["knn_embeddings"] = _with(*EMB, "ek AS (SELECT CAST(floor(sqrt(count(*) - 1)) AS BIGINT) AS k FROM e)",
-                                """top AS (SELECT vec_id, label, round(cos, 9) AS sim,
-        CAST(row_number() OVER (ORDER BY round(cos, 9) DESC, vec_id) AS INTEGER) AS rank
-    FROM es WHERE vec_id <> qid QUALIFY rank <= (SELECT k FROM ek))""",
-                                "best AS (SELECT label FROM top GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)") + \
+    q["dot_product_arrays"] = _with(*EMB, _nearest("round(dot, 6)")) + "SELECT q, rank, vec_id, sim AS dot FROM top"
+    q["cosine_embeddings"] = _with(*EMB, _nearest("round(cos, 6)")) + "SELECT q, rank, vec_id, norm, sim FROM top"
+    q["knn_embeddings"] = _with(*EMB, _nearest("round(cos, 9)"), """votes AS (SELECT q, label AS predicted FROM top GROUP BY q, label
+    QUALIFY row_number() OVER (PARTITION BY q ORDER BY count(*) DESC, label) = 1)""") + \
+        "SELECT q, rank, vec_id, label, sim, predicted FROM top JOIN votes USING (q)"
+    q["knn_one_embedding"] = _with(EMB[0], "qv AS (SELECT embedding AS qe, vec_id AS q FROM e WHERE vec_id = (SELECT min(vec_id) FROM e))", *EMB[2:],
+                                   _nearest("round(cos, 9)"), "best AS (SELECT label FROM top GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)") + \
         "SELECT rank, vec_id, label, sim, (SELECT label FROM best) AS predicted FROM top"
+    q["similarity_join"] = _with(*MODEL, folds_ctes(), pairs_ctes()) + \
+        f"SELECT lo, hi, dot, sim FROM psim WHERE abs(sim) >= {C.JOIN_MIN_SIM}"
     q["stratified_folds"] = _with(docs_cte(), folds_ctes()) + "SELECT doc_id, class, fold FROM folds"
     q["class_counts"] = _with(docs_cte()) + "SELECT class, count(*) AS cnt FROM d GROUP BY class"
     pct = "round_even((CAST(count(*) AS DOUBLE) * 100.0) / (SELECT CAST(count(*) AS DOUBLE) FROM d), 4)"
