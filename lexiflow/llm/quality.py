@@ -3,15 +3,17 @@
 A logistic model over text statistics gives every document a probability of good quality; it
 is fitted on all labelled rows by Newton steps whose sums Spark adds up. The probabilities are added up per path
 (host and section) and per host. A host's rate is shrunk towards the global one, and a path's
-towards its host's, each with a beta prior whose strength is fitted to the spread at that
-level, so a sparse site says little more than its parent. The verdict adds the site's log
-odds against the global ones to the document's.
+towards its host's, each with a prior worth so many documents as the variance of documents
+within a site is times the variance between the sites of that level (both measured), so a sparse
+site says little more than its parent. The verdict adds the site's log odds against the global
+ones to the document's.
 
 In ``documents`` the host is ``source`` and the path its section ``lang``. The texts are read
 once, into a table of one row of numbers per document; sites are added up with partial
 aggregation, so a host with a third of all rows is one row per task.
 
-Defined cases: a null text counts as empty; a null source or lang is a site of its own; a
+Defined cases: a null text counts as empty; texts of any length are measured whole; a quality equal
+to the threshold is kept; a null source or lang is a site of its own; a
 document with several labels has their mean; repeated rows count each; without labels
 of both kinds every document is kept with its probability at one half; an empty table gives an
 empty result; other columns are ignored.
@@ -27,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, stored, text_or_empty
-from .rules import prior_strength
 from .shingles import chunks, utf8_buffers, word_hashes
 
 FEATURES = ("log_words", "word_length", "upper", "digits", "marks", "symbols", "other", "lines", "distinct", "short", "repeated")
@@ -107,13 +108,12 @@ def _measure(batches):
                 names=["k_id", "k_text", "host", "path", "x"])
 
 
-def _level(rows: DataFrame, keys: list[str], mean: float) -> tuple[DataFrame, float]:
-    """Sums of a level, and the strength of the prior around ``mean``."""
-    sums = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "site-sums")
-    r = sums.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("h"),
-                 F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.lit(mean), F.lit(2.0))).alias("v")).first()
-    n = r["n"] or 0
-    return sums, prior_strength(mean, (r["v"] - mean * (1 - mean) * r["h"]) / n if n else 0.0)
+def site_strength(within: float, spread: float, documents: float, free: float) -> float:
+    """Documents that a site's prior is worth, from 2 to 1,000,000. ``within``: variance of documents in
+    a site, ``spread``: squared distances of site means from their parent's, summed over the
+    documents, ``free``: sites less parents."""
+    between = (spread - free * within) / documents if documents else 0.0
+    return min(1e6, max(2.0, within / between)) if between > 0 else 1e6
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, site_weight: float = 1.0, threshold: float = 0.5) -> DataFrame:
@@ -129,9 +129,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, site_weight: float = 1.0,
     rows = stored(rows.select("k_id", "k_text", "host", "path", (1 / (1 + F.exp(-logit))).alias("p")), "document-evidence")
 
     mean = min(1 - 1e-6, max(1e-6, rows.agg(F.avg("p")).first()[0] or 0.5))
-    hosts, strength = _level(rows, ["host"], mean)
+    sums = stored(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q")),
+                  "path-sums")
+    hosts = stored(sums.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("paths"),
+                                            F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("t")), "host-sums")
+    # squared distances: of documents from their path's mean, of paths from their host's, of hosts from all
+    r = hosts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hosts"), F.sum("paths").alias("paths"), F.sum(F.col("q") - F.col("t")).alias("inner"),
+                  F.sum(F.col("t") - F.col("s") * F.col("s") / F.col("n")).alias("path_spread"),
+                  F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.lit(mean), F.lit(2.0))).alias("host_spread")).first()
+    n = r["n"] or 0
+    within = max(0.0, r["inner"] or 0.0) / max(1, n - (r["paths"] or 0))
+    strength = site_strength(within, r["host_spread"] or 0.0, n, r["hosts"] - 1)
+    path_strength = site_strength(within, r["path_spread"] or 0.0, n, (r["paths"] or 0) - r["hosts"])
     hosts = hosts.select("host", ((F.col("s") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))).alias("p_host"))
-    paths, path_strength = _level(rows, ["host", "path"], mean)
+    paths = sums
     paths, hosts = paths.alias("x"), hosts.alias("y")
     site = paths.join(hosts, F.col("x.host").eqNullSafe(F.col("y.host"))).select(
         F.col("x.host").alias("s_host"), F.col("x.path").alias("s_path"), "p_host",

@@ -25,11 +25,13 @@ def test_site_posteriors_match_brute_force(spark):
         groups = {}
         for k, x in zip(keys, p):
             groups.setdefault(k, []).append(x)
-        spread = sum(len(v) * (np.mean(v) - mean) ** 2 for v in groups.values())
-        return groups, quality.prior_strength(mean, (spread - mean * (1 - mean) * len(groups)) / len(p))
+        return groups
 
-    hosts, s = level([r.host for r in got])
-    paths, t = level([(r.host, r.path) for r in got])
+    hosts, paths = level([r.host for r in got]), level([(r.host, r.path) for r in got])
+    within = sum(((np.array(v) - np.mean(v)) ** 2).sum() for v in paths.values()) / (len(p) - len(paths))
+    strength = lambda spread, free: quality.site_strength(within, spread, len(p), free)
+    s = strength(sum(len(v) * (np.mean(v) - mean) ** 2 for v in hosts.values()), len(hosts) - 1)
+    t = strength(sum(len(v) * (np.mean(v) - np.mean(hosts[k[0]])) ** 2 for k, v in paths.items()), len(paths) - len(hosts))
     p_host = {k: (sum(v) + mean * s) / (len(v) + s) for k, v in hosts.items()}
     for r in got:
         v = paths[r.host, r.path]
@@ -40,6 +42,21 @@ def test_site_posteriors_match_brute_force(spark):
         assert abs(r.quality - 1 / (1 + np.exp(-total))) < 1e-9 and r.kept == (r.quality >= 0.5)
 
 
+def test_sites_change_verdicts_of_borderline_documents(spark):
+    """Middling documents stay on a good host and go on a bad one, whose documents are mostly bad."""
+    rng = np.random.default_rng(1)
+    def text(bad):
+        words = [f"w{rng.integers(10**6)}" for _ in range(60)]
+        return " ".join("SPAM!!" if i < bad else w for i, w in enumerate(words))
+    rows = [(i, text(0 if i % 20 else 60), "en", f"good{i % 5}") for i in range(300)]
+    rows += [(1000 + i, text(60 if i % 5 else 0), "en", "bad") for i in range(100)]
+    rows += [(2000 + i, text(int(b)), "en", h) for i, (b, h) in enumerate((b, h) for b in np.linspace(2, 58, 57) for h in ("good0", "bad"))]
+    labels = spark.createDataFrame([(i, int(t.count("SPAM") < 30)) for i, t, _, _ in rows if i < 2000 or i % 3 == 0], "doc_id long, quality int")
+    got = quality.quality_scores(texts_frame(spark, rows), labels).collect()
+    changed = {(r.host[:4], r.kept) for r in got if r.kept != (r.p_doc >= 0.5)}
+    assert changed <= {("bad", False), ("good", True)} and changed
+
+
 def test_sparse_sites_say_little(spark):
     rng = np.random.default_rng(0)
     text = lambda good: " ".join(f"w{rng.integers(10**6)}" if good else "SPAM!!" for _ in range(60))
