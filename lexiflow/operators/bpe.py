@@ -16,23 +16,24 @@ One merge = one aggregation job over the word table, or two where equal counts h
 told apart, with a one-row result on the driver (the chosen pair); the word table is
 checkpointed every few merges so the lineage does not grow with the number of merges.
 
-``train_indexed`` gives the same for thousands of merges: one task holds the distinct words and
-an index of their pairs (``bpe_index``), so a merge costs the words that it changes. Its memory
-grows with the distinct words, not with the corpus.
+``train_rounds`` gives the same for thousands of merges: one barrier stage holds the distinct words in
+several tasks, which agree on merges round by round (``bpe_rounds``), so a merge costs the words
+that it changes and many independent merges share a round.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import cut_lineage, stored
-from .bpe_index import PairIndex
+from .bpe_rounds import WordPart, train_part
 from .ranking import range_rank
 
 
@@ -156,22 +157,38 @@ def train(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", che
     return BpeResult(merges_df, vocab, w)
 
 
-def train_indexed(words: DataFrame, n: int, eow: str = "_", mode: str = "substring") -> BpeResult:
-    """``train`` with the words and their pairs indexed in one task. Words with the same first
-    place (repeated document ids) are taken in the order of the words."""
+#: Distinct words per task of ``train_rounds``, and the most tasks that exchange messages.
+WORDS_PER_TASK, MOST_TASKS = 100_000, 64
+
+
+def train_rounds(words: DataFrame, n: int, eow: str = "_", mode: str = "substring", tasks: int | None = None) -> BpeResult:
+    """``train`` in rounds of merges, by ``tasks`` tasks that run at the same time (a barrier stage; at
+    most as many as the cluster has cores, which is the default). Words with the same first place
+    (repeated document ids) are taken in the order of the words. If a task is lost, Spark runs the
+    stage again from the stored words. A message takes Spark about a second, one a round (``symbol``) or two."""
     if mode not in ("substring", "symbol"):
         raise ValueError("mode must be 'substring' or 'symbol'")
-    w = stored(with_symbols(words, eow), "bpe-words")
+    in_order = with_symbols(words, eow).orderBy("first_doc", "first_pos", "word").withColumn("place", F.monotonically_increasing_id())
+    w = stored(in_order, "bpe-words")
+    cores = w.sparkSession.sparkContext.defaultParallelism
+    tasks = tasks or max(1, min(cores, MOST_TASKS, math.ceil(w.count() / WORDS_PER_TASK)))
 
     def run(batches):
-        index, kept = PairIndex(mode == "substring"), []
+        context = BarrierTaskContext.get()
+        part, kept, changes = WordPart(mode == "substring"), [], {}
         for batch in batches:
-            for syms, freq in zip(batch.column("syms").to_pylist(), batch.column("freq").to_pylist()):
-                index.add(syms, freq)
+            for syms, freq, place in zip(batch.column("syms").to_pylist(), batch.column("freq").to_pylist(), batch.column("place").to_pylist()):
+                part.add(syms, freq, place, changes)
             kept.append(batch.select(["word", "freq", "first_doc", "first_pos"]))
-        merges = index.run(n)
+        rounds, merges = train_part(part, changes, n), None
+        message = next(rounds)
+        while merges is None:
+            try:
+                message = rounds.send(context.allGather(message) if tasks > 1 else [message])
+            except StopIteration as end:
+                merges = end.value
         names = [*schema.names]
-        if merges:
+        if merges and context.partitionId() == 0:
             a, b, cnt = zip(*merges)
             none = [pa.nulls(len(merges), schema.field(c).type) for c in names[4:]]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(merges)), pa.int32()), pa.array(a), pa.array(b),
@@ -180,7 +197,7 @@ def train_indexed(words: DataFrame, n: int, eow: str = "_", mode: str = "substri
         for batch in kept:
             hi = lo + batch.num_rows
             none = [pa.nulls(hi - lo, schema.field(c).type) for c in names[:4]]
-            syms = [list(index._symbols(i)) for i in range(lo, hi)]
+            syms = [list(part.symbols(i)) for i in range(lo, hi)]
             yield pa.RecordBatch.from_arrays([*none, *batch.columns, pa.array(syms, pa.list_(pa.string()))], names=names)
             lo = hi
 
@@ -190,9 +207,9 @@ def train_indexed(words: DataFrame, n: int, eow: str = "_", mode: str = "substri
                         ("freq", pa.int64()), ("first_doc", to_arrow_type(doc)), ("first_pos", to_arrow_type(pos)),
                         ("syms", pa.list_(pa.string()))])
     trained = stored(
-        w.repartition(1).sortWithinPartitions("first_doc", "first_pos", "word").mapInArrow(
+        w.repartition(tasks).sortWithinPartitions("place").mapInArrow(
             run, f"rank int, a string, b string, cnt bigint, word string, freq bigint, first_doc {doc.simpleString()}, "
-                 f"first_pos {pos.simpleString()}, syms array<string>"), "bpe-trained")
+                 f"first_pos {pos.simpleString()}, syms array<string>", barrier=True), "bpe-trained")
     merges = trained.where(F.col("rank").isNotNull()).select("rank", "a", "b", "cnt")
     done = (trained.where(F.col("rank").isNull()).select("word", "freq", "first_doc", "first_pos", "syms")
             .withColumn("seg", F.concat_ws(" ", "syms")))

@@ -198,7 +198,7 @@ def q_bpe_segmented_corpus(spark, sf):
 
 
 def _bpe_full(spark, sf, mode="substring"):
-    return bpe.train_indexed(_bpe_words(spark, sf), BPE_FULL_MERGES, EOW, mode=mode)
+    return bpe.train_rounds(_bpe_words(spark, sf), BPE_FULL_MERGES, EOW, mode=mode)
 
 
 def q_bpe_train_full(spark, sf):

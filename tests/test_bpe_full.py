@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from lexiflow.operators import bpe
-from lexiflow.operators.bpe_index import PairIndex, merge_symbols
+from lexiflow.operators.bpe_rounds import WordPart, merge_symbols, train_part
 from lexiflow.plans import catalog as C
 
 SF = "/root/testdata/sf0.001"
@@ -26,29 +26,65 @@ def brute(corpus, n, substring, eow="_"):
     return merges, {"".join(w): w for w in words}
 
 
+def in_parts(corpus, n, substring, parts):
+    """The rounds of several parts, their messages passed on here: merges, final symbols, rounds."""
+    held, loops = [], []
+    ranked = list(Counter(corpus).items())
+    for me in range(parts):
+        part, changes = WordPart(substring), {}
+        for place, (w, freq) in enumerate(ranked):
+            if place * 7919 % parts == me:
+                part.add([*w, "_"], freq, place, changes)
+        held.append(part)
+        loops.append(train_part(part, changes, n))
+    messages, done, rounds = [next(x) for x in loops], [], 0
+    while not done:
+        rounds += 1
+        answers = []
+        for x in loops:
+            try:
+                answers.append(x.send(messages))
+            except StopIteration as end:
+                done.append(end.value)
+        messages = answers
+    assert len(done) == parts and all(d == done[0] for d in done)
+    return done[0], {"".join(s): tuple(s) for p in held for s in map(p.symbols, range(len(p.words)))}, rounds
+
+
 @pytest.mark.parametrize("substring", [True, False])
-def test_index_against_brute_force(substring):
-    for seed in range(300):
+def test_rounds_equal_merges_one_by_one(substring):
+    for seed in range(45):
         r = random.Random(seed)
-        letters = "ab" if seed % 3 == 0 else "abcde"
-        corpus = ["".join(r.choices(letters, k=r.randint(1, 9))) for _ in range(r.randint(1, 40))]
+        letters = ("ab", "abcde", "abcdefghijklmnopqrstuvw")[seed % 3]
+        corpus = ["".join(r.choices(letters, k=r.randint(1, 9))) for _ in range(r.randint(1, 60))]
         n = r.choice([3, 10**6])
-        index = PairIndex(substring)
-        for w, freq in Counter(corpus).items():
-            index.add([*w, "_"], freq)
         merges, words = brute(corpus, n, substring)
-        assert index.run(n) == merges
-        assert {"".join(s): s for s in map(tuple, map(index._symbols, range(len(index.words))))} == words
+        assert in_parts(corpus, n, substring, r.choice([1, 2, 5]))[:2] == (merges, words), seed
+
+
+@pytest.mark.parametrize("substring", [True, False])
+def test_many_merges_share_a_round(substring):
+    """Words of many symbols with different counts: far fewer rounds than merges, the same merges."""
+    r = random.Random(3)
+    word = lambda: "".join(chr(97 + int(24 * r.random() ** 1.5)) + chr(200 + int(60 * r.random() ** 1.5)) for _ in range(r.randint(1, 4)))
+    corpus = [w for w in (word() for _ in range(250)) for _ in range(r.randint(1, 9))]
+    merges, words = brute(corpus, 10**6, substring)
+    found, symbols, messages = in_parts(corpus, 10**6, substring, 3)
+    assert (found, symbols) == (merges, words)
+    rounds = messages / 2 if substring else messages
+    assert rounds < 0.85 * len(merges)
 
 
 @pytest.mark.parametrize("mode", ["substring", "symbol"])
-def test_train_until_no_pair_is_left(spark, mode):
+@pytest.mark.parametrize("tasks,n", [(1, 10**6), (3, 8)])
+def test_train_rounds(spark, mode, tasks, n):
+    """Until no pair is left in one task; a few rounds of three tasks."""
     r = random.Random(7)
     corpus = ["".join(r.choices("abcdef", k=r.randint(1, 8))) for _ in range(300)]
     tokens = spark.createDataFrame([(i // 10, i % 10, w) for i, w in enumerate(corpus)], "doc_id long, pos int, token string")
-    got = bpe.train_indexed(bpe.word_table(tokens), 10**6, "_", mode)
-    merges, words = brute(corpus, 10**6, mode == "substring")
-    assert len(merges) > 100
+    got = bpe.train_rounds(bpe.word_table(tokens), n, "_", mode, tasks)
+    merges, words = brute(corpus, n, mode == "substring")
+    assert len(merges) > 100 or n == 8
     assert [(x.a, x.b, x.cnt) for x in got.merges.orderBy("rank").collect()] == merges
     assert {x.word + "_": tuple(x.syms) for x in got.words.collect()} == words
     vocab = [x.token for x in got.vocab.orderBy("position").collect()]
