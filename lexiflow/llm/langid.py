@@ -9,7 +9,8 @@ and takes the codeword with the least loss; if the runner-up is within ``AMBIGUO
 text is flagged.
 
 The model is a table of (languages x ``BUCKETS``) counts, added up by Spark; only that table
-reaches the driver. Defined cases: a null text, or one without a letter, is ``und`` with score 0;
+reaches the driver. Defined cases: texts of any length are read whole; of languages with the same
+loss the first in the alphabet wins, and the text is flagged; a null text, or one without a letter, is ``und`` with score 0;
 rows with a null label or a null doc_id teach nothing; without any label every text is
 ``und``; repeated rows count each; an empty table gives an empty result; other columns are ignored.
 """

@@ -100,7 +100,8 @@ class Automaton:
         that length the one with most literal words."""
         now = {s: 0 for s in self.closed({0})}
         best = (0, 0) if self.accept in now else None
-        for n, token in enumerate(tokens[at:], 1):
+        for n in range(1, len(tokens) - at + 1):  # no copy of what follows
+            token = tokens[at + n - 1]
             after: dict[int, int] = {}
             for s, hits in now.items():
                 for to, gain in [*((x, 1) for x in self.literal[s].get(token, ())), *((x, 0) for x in self.anyword[s])]:

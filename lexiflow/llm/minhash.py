@@ -16,7 +16,8 @@
 Two sets with a similarity of 0.75 share no band with a probability of about 1e-6 (less
 above); no cap is set anywhere.
 
-Defined cases: a document without words or text has an empty set, is linked with nothing and
+Defined cases: texts of any length give their whole set; a similarity of exactly the bound links;
+a document without words or text has an empty set, is linked with nothing and
 stays; rows that repeat doc_id and text carry the same verdict; two different texts under
 one doc_id are one node (a link of either is a link of both); a row without doc_id joins
 the component of a document with the same set, else it stays alone with a null

@@ -65,3 +65,57 @@ def test_awkward_rows(spark, awkward, nothing):
     assert {r.lang_pred for r in langid.identify(awkward, unlearned).collect()} == {"und"}
     only = langid.fit({"x": np.ones(langid.BUCKETS)})
     assert {r.lang_pred for r in langid.identify(awkward, only).collect()} == {"und", "x"}
+
+
+def test_predictions_equal_plain_python(spark):
+    """Counts, margins, losses and scores worked out again letter by letter with dictionaries."""
+    import itertools
+    import math
+
+    texts = {"en": "the cat sat on the mat and the dog ran", "de": "der hund und die katze sind über der straße",
+             "fr": "le chat est sur la table et le chien", "es": "el perro y el gato están en la casa"}
+    rows = [(i, " ".join(t.split()[i % 5:]) + f" {i}", lang, "s") for i, (lang, t) in enumerate(itertools.islice(itertools.cycle(texts.items()), 48))]
+    rows += [(100, None, "en", "s"), (101, "12 34", "de", "s"), (102, "hund cat chat", None, "s"), (None, "der die das", "de", "s"), (103, "a", "en", "s")]
+
+    def grams(text):
+        data = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()]
+        data = [32, *data, 32]
+        return [((a << 16 | b << 8 | c) * 0x9E3779B1 % 2**32) >> 17 for a, b, c in zip(data, data[1:], data[2:]) if b != 32]
+
+    count = {}
+    for i, t, lang, _ in rows:
+        if i is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            own = count.setdefault(lang, {})
+            for g in grams(t):
+                own[g] = own.get(g, 0) + 1
+    langs = sorted(count)
+    total = {x: sum(count[x].values()) + 0.5 * langid.BUCKETS for x in langs}
+    mean = lambda side, g: sum((count[x].get(g, 0) + 0.5) / total[x] for x in side) / len(side)
+    bits = []
+    for split in range(2 ** (len(langs) - 1) - 1):
+        up = [langs[0]] + [x for i, x in enumerate(langs[1:]) if split >> i & 1]
+        down = [x for x in langs if x not in up]
+        ratio = [math.log(mean(up, g) / mean(down, g)) for g in range(langid.BUCKETS)]
+        top = sum(mean(up, g) * r for g, r in enumerate(ratio))
+        bottom = sum(mean(down, g) * r for g, r in enumerate(ratio))
+        bits.append((up, ratio, top, bottom))
+    apart = sum(b[2] - b[3] for b in bits)
+    model = langid.fit(langid.language_counts(texts_frame(spark, rows), ~langid.held_out()))
+    got = {r.doc_id: r for r in langid.identify(texts_frame(spark, rows), model).collect()}
+    for i, t, _, _ in rows:
+        own = grams(t)
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        loss = dict.fromkeys(langs, 0.0)
+        for up, ratio, top, bottom in bits:
+            margin = sum(2 * ratio[g] / (top - bottom) for g in own) / len(own) - (top + bottom) / (top - bottom)
+            margin = max(-4.0, min(4.0, margin))
+            for x in langs:
+                loss[x] += math.exp(-margin if x in up else margin) * (top - bottom) / apart
+        best = min(langs, key=loss.get)
+        score = 1 / sum(math.exp(4 * (loss[best] - v)) for v in loss.values())
+        order = sorted(loss.values())
+        assert abs(got[i].score - score) < 1e-3 and abs(loss[got[i].lang_pred] - order[0]) < 1e-3
+        if abs(order[1] - order[0] - langid.AMBIGUOUS) > 1e-3:
+            assert got[i].ambiguous == (order[1] - order[0] < langid.AMBIGUOUS)
