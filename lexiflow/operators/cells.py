@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,52 @@ def dot_measure(dot: np.ndarray, norm_q: np.ndarray, norm_t: np.ndarray) -> np.n
     return dot
 
 
+class SparseBlock(NamedTuple):
+    """Sparse vectors of several documents: the entries of row i are offsets[i]..offsets[i + 1] of ``codes``
+    (terms as numbers, the same in both blocks of a measure, ascending names) and ``weights``."""
+    ids: np.ndarray
+    offsets: np.ndarray
+    codes: np.ndarray
+    weights: np.ndarray
+
+    def sums(self) -> np.ndarray:
+        """Sum of the weights of every row."""
+        return np.bincount(np.repeat(np.arange(len(self.ids)), np.diff(self.offsets)), weights=self.weights, minlength=len(self.ids))
+
+
+#: Both sides' whole vectors → similarities (rows of the first, rows of the second): any measure.
+BlockMeasure = Callable[[SparseBlock, SparseBlock], np.ndarray]
+
+
+def shared_sums(left: SparseBlock, right: SparseBlock, combine: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.multiply) -> np.ndarray:
+    """(left rows, right rows): ``combine`` of the two weights, added up over the terms both have; a
+    bounded number of entries at a time."""
+    order = np.argsort(right.codes, kind="stable")
+    row_r = np.repeat(np.arange(len(right.ids)), np.diff(right.offsets))[order]
+    weight_r = right.weights[order]
+    count = np.bincount(right.codes, minlength=int(max(left.codes.max(initial=-1), right.codes.max(initial=-1))) + 1)
+    start = np.cumsum(count) - count
+    row_l = np.repeat(np.arange(len(left.ids)), np.diff(left.offsets))
+    out = np.zeros(len(left.ids) * len(right.ids))
+    upto, a, b = np.cumsum(count[left.codes]), 0, len(left.codes)
+    while a < b:
+        done = upto[a - 1] if a else 0
+        part = slice(a, a + max(1, int(np.searchsorted(upto[a:], done + PRODUCTS, "right"))))
+        times = count[left.codes[part]]
+        at = np.arange(int(times.sum())) + np.repeat(start[left.codes[part]] - (np.cumsum(times) - times), times)
+        cell = np.repeat(row_l[part] * len(right.ids), times) + row_r[at]
+        out += np.bincount(cell, weights=combine(np.repeat(left.weights[part], times), weight_r[at]), minlength=len(out))
+        a = part.stop
+    return out.reshape(len(left.ids), len(right.ids))
+
+
+def weighted_jaccard(left: SparseBlock, right: SparseBlock) -> np.ndarray:
+    """Sum of the smaller weights over the sum of the larger ones, for weights of at least 0; 0 for empty rows."""
+    least = shared_sums(left, right, np.minimum)
+    most = left.sums()[:, None] + right.sums()[None, :] - least
+    return np.divide(least, most, out=np.zeros_like(least), where=most != 0)
+
+
 def document_vectors(weights: DataFrame, docs: DataFrame, weight: str = "w") -> DataFrame:
     """(doc_id, fold, terms, weights): one row per document of ``docs`` (doc_id, fold), with empty
     arrays where a document has no weight. A row is as long as its document."""
@@ -108,6 +155,17 @@ def _dots(left: _Side, right: _Side) -> Iterator[tuple[int, int, np.ndarray]]:
         yield lo, hi, block.reshape(hi - lo, width)
 
 
+def _block_values(left: _Side, right: _Side, measure: BlockMeasure) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(lo, hi, similarities) of strips of left rows with all right rows."""
+    codes = pa.chunked_array([left.terms.cast(pa.large_string()), right.terms.cast(pa.large_string())]).combine_chunks().dictionary_encode()
+    code = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    whole = SparseBlock(right.ids, np.append(0, right.end), code[len(left.terms):], right.weights)
+    for lo in range(0, len(left.ids), STRIP):
+        hi = min(lo + STRIP, len(left.ids))
+        a, b = int(left.end[lo] - left.size[lo]), int(left.end[hi - 1])
+        yield lo, hi, measure(SparseBlock(left.ids[lo:hi], np.append(a, left.end[lo:hi]) - a, code[a:b], left.weights[a:b]), whole)
+
+
 def _rounded(x: np.ndarray, digits: int) -> np.ndarray:
     """x · 10^digits as whole numbers, halves away from zero."""
     return (np.sign(x) * np.floor(np.abs(x) * 10.0**digits + 0.5)).astype(np.int64)
@@ -129,9 +187,10 @@ def _cells(queries: DataFrame, candidates: DataFrame, buckets: tuple[int, int] |
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int, measure: Measure = cosine_measure, digits: int = 6,
-          buckets: tuple[int, int] | None = None) -> DataFrame:
+          buckets: tuple[int, int] | None = None, block_measure: BlockMeasure | None = None) -> DataFrame:
     """The k best candidates of every query among those of other folds: (q, fold_q, rank, t, fold_t,
-    sim), by (sim descending, fold, id); similarities rounded to ``digits`` first."""
+    sim), by (sim descending, fold, id); similarities rounded to ``digits`` first. ``measure`` sees dot
+    products and norms; a ``block_measure`` sees the whole vectors and takes its place."""
     schema = pa.schema([("q", pa.int64()), ("fold_q", pa.int32()), ("t", pa.int64()), ("fold_t", pa.int32()), ("sim", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -140,8 +199,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, measure: Measure =
         x, y = _Side(left), _Side(right)
         width, out = len(y.ids), []
         keep = min(k, width)
-        for lo, hi, dot in _dots(x, y):
-            value = _rounded(measure(dot, x.norm[lo:hi, None], y.norm[None, :]), digits)
+        strips = (((lo, hi, measure(dot, x.norm[lo:hi, None], y.norm[None, :])) for lo, hi, dot in _dots(x, y))
+                  if block_measure is None else _block_values(x, y, block_measure))
+        for lo, hi, similarity in strips:
+            value = _rounded(similarity, digits)
             # one whole number orders by (similarity, train order); the own fold comes last
             key = value * width + np.arange(width - 1, -1, -1)
             key[x.folds[lo:hi, None] == y.folds[None, :]] = _LAST

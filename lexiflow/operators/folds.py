@@ -94,7 +94,9 @@ def drop_first_n_per_class(docs: DataFrame, n: int = 40, class_col: str = "class
     """Rows left after removing the first ``n`` documents (by id) of every class.
     The first-n table is a bounded top-n for any n."""
     first = first_k(docs.select(id_col, class_col), [class_col], n, [F.col(id_col)], F.col(id_col))
-    return docs.join(first.select(id_col), id_col, "left_anti")
+    first = first.select(F.col(id_col).alias("_first_id"), F.col(class_col).alias("_first_class"))
+    same = F.col(id_col).eqNullSafe(F.col("_first_id")) & F.col(class_col).eqNullSafe(F.col("_first_class"))  # an id may be in two classes
+    return docs.join(first, same, "left_anti")
 
 
 def distinct_classes(docs: DataFrame, class_col: str = "class") -> DataFrame:

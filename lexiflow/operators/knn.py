@@ -130,11 +130,11 @@ def predict(neighbours: DataFrame, docs_folds: DataFrame) -> DataFrame:
 
 
 def cross_validated_neighbours(weights: DataFrame, folds: DataFrame, k: int, measure: cells.Measure = cells.cosine_measure,
-                               digits: int = 6, weight: str = "w") -> DataFrame:
+                               digits: int = 6, weight: str = "w", block_measure: cells.BlockMeasure | None = None) -> DataFrame:
     """Neighbours of every document of ``folds`` (doc_id, fold) among the documents of the other
     folds — the pooled result of all folds in one plan."""
     vectors = stored(cells.document_vectors(weights, folds, weight), "vectors")
-    return cells.top_k(vectors, vectors, k, measure, digits)
+    return cells.top_k(vectors, vectors, k, measure, digits, block_measure=block_measure)
 
 
 def predict_vectors(queries: DataFrame, train: DataFrame, classes: DataFrame, k: int) -> DataFrame:

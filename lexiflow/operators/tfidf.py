@@ -20,10 +20,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .ranking import range_rank
 from ..sources.corpus import require_columns
 from ..functions.text import (
     DEFAULT_STOP_WORDS,
@@ -275,6 +278,67 @@ def tfidf_wide_top(model: TfidfModel, docs: DataFrame, n: int, class_col: str |
     return ids.join(wide, "doc_id", "left").fillna(0.0, subset=[f"t{i}" for i in range(1, n + 1)])
 
 
+#: Rows and columns of a block of the matrix.
+MATRIX_ROWS, MATRIX_COLUMNS = 256, 4096
+
+
+class MatrixBlocks(NamedTuple):
+    rows: DataFrame  # row, doc_id, class
+    columns: DataFrame  # column, term
+    blocks: DataFrame  # row_block, column_block, offsets, codes, weights
+
+
+def matrix_blocks(tfidf: DataFrame, docs: DataFrame, terms: DataFrame, rows: int = MATRIX_ROWS, columns: int = MATRIX_COLUMNS,
+                  class_col: str = "class") -> MatrixBlocks:
+    """The whole document x term matrix in compressed sparse rows: one stored row per block of ``rows``
+    documents and ``columns`` terms that has an entry. ``offsets`` (rows + 1) cut ``codes`` (columns inside
+    the block, ascending) and ``weights`` (the integer w) into matrix rows. ``docs``: (doc_id, class), doc_id unique;
+    ``terms``: (term) in the matrix; documents and terms are numbered in their order."""
+    ids = range_rank(docs.select("doc_id").where("doc_id IS NOT NULL"), "doc_id", "row")
+    row_index = stored(ids.join(docs.select("doc_id", F.col(class_col).alias("class")), "doc_id").select("row", "doc_id", "class"), "matrix-rows")
+    column_index = stored(range_rank(terms.select("term"), "term", "column").select("column", "term"), "matrix-columns")
+    cells = (tfidf.select("doc_id", "term", "w").where("w <> 0").join(row_index.select("row", "doc_id"), "doc_id").join(column_index, "term")
+             .select(F.floor(F.col("row") / rows).alias("row_block"), F.floor(F.col("column") / columns).alias("column_block"),
+                     (F.col("row") % rows).alias("r"), (F.col("column") % columns).cast("int").alias("c"), "w"))
+
+    def pack(block: pa.Table) -> pa.Table:  # at most rows · columns entries
+        r, c, w = (block[name].to_numpy() for name in ("r", "c", "w"))
+        order = np.lexsort((c, r))
+        offsets = np.searchsorted(r[order], np.arange(rows + 1)).astype(np.int32)
+        lists = [pa.array([x], t) for x, t in ((offsets, pa.list_(pa.int32())), (c[order], pa.list_(pa.int32())), (w[order], pa.list_(pa.int64())))]
+        return pa.table([block["row_block"].slice(0, 1), block["column_block"].slice(0, 1), *lists],
+                        names=["row_block", "column_block", "offsets", "codes", "weights"])
+
+    packed = cells.groupBy("row_block", "column_block").applyInArrow(
+        pack, "row_block long, column_block long, offsets array<int>, codes array<int>, weights array<long>")
+    return MatrixBlocks(row_index, column_index, stored(packed, "matrix-blocks"))
+
+
+def dense_rows(matrix: MatrixBlocks, rows: int = MATRIX_ROWS, columns: int = MATRIX_COLUMNS) -> DataFrame:
+    """(doc_id, class, column_block, first_column, values): dense slices of every row of the matrix, zeros
+    and rows without an entry included; ``values`` has a whole number w for each column of the block."""
+    n_columns = matrix.columns.select(F.count(F.lit(1))).scalar()
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_columns - 1) / columns)))
+    slices = matrix.rows.where(n_columns > 0).select("row", "doc_id", "class", every.alias("column_block"))
+    slices = slices.withColumn("row_block", F.floor(F.col("row") / rows)).withColumn("width", F.least(F.lit(columns), n_columns - F.col("column_block") * columns))
+    schema = "doc_id long, class string, column_block long, first_column long, values array<long>"
+
+    def fill(part: pa.Table, block: pa.Table) -> pa.Table:
+        row, width = part["row"].to_numpy() % rows, part["width"].to_numpy()
+        dense = np.zeros((rows, columns), np.int64)
+        if block.num_rows:
+            offsets, codes, weights = (block[c].combine_chunks().flatten().to_numpy() for c in ("offsets", "codes", "weights"))
+            dense[np.repeat(np.arange(rows), np.diff(offsets)), codes] = weights
+        values = [dense[r, :w] for r, w in zip(row, width)]
+        ends = pa.array(np.cumsum([0, *width]).astype(np.int32))
+        first = pa.array(part["column_block"].to_numpy() * columns)
+        return pa.table([part["doc_id"], part["class"], part["column_block"], first, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))],
+                        names=["doc_id", "class", "column_block", "first_column", "values"]) if len(values) else part.schema.empty_table()
+
+    blocks = matrix.blocks.select(F.col("row_block").alias("b_row"), F.col("column_block").alias("b_column"), "offsets", "codes", "weights")
+    return slices.groupBy("row_block", "column_block").cogroup(blocks.groupBy("b_row", "b_column")).applyInArrow(fill, schema)
+
+
 # ---------------------------------------------------------------------------
 # Library-style TF-IDF: lower-case, words of ≥ 2 word characters, raw counts,
 # smooth idf = ln((1 + N) / (1 + df)) + 1, L2-normalised rows.

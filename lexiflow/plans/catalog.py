@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
 from ..operators import bpe, dense, folds as fo, knn, metrics as me, scoring, similarity as si, simjoin, tfidf as tf
-from ..operators.cells import dot_measure
+from ..operators.cells import dot_measure, weighted_jaccard
 from ..session import stored_folder
 from ..sources import corpus
 from ..sources.tables import conversation_corpus, labelled_documents, read_table
@@ -340,6 +340,30 @@ def q_batch_score(spark, sf):
     return scoring.decode(out, codes).select("doc_id", "fold", "code", F.col("class").alias("predicted"), "confidence")
 
 
+def q_batch_score_function(spark, sf):
+    """The same with the models in a table of their own and a user function over batches."""
+    run = _run(spark, sf)
+    codes = scoring.label_codes(_docs(spark, sf))
+    rows = (scoring.vote_scores(run.neighbours, run.folds, codes).withColumnRenamed("scores", "features")
+            .join(run.folds.select("doc_id", "fold"), "doc_id"))
+    split = fo.train_test_split(run.folds, N_FOLDS).where(f"split = 'train' AND fold <> {SKIPPED_FOLD}")
+    sizes = split.join(codes, "class").groupBy("fold", "code").agg(F.count(F.lit(1)).alias("n"))
+    models = sizes.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("_m")).select(
+        "fold", F.col("_m.n").alias("model"))
+
+    def score(rows, model):
+        votes = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), -1) / np.array(model, dtype=float)
+        return rows[["doc_id", "fold"]].assign(code=votes.argmax(axis=1).astype("int32"), confidence=np.round(votes.max(axis=1) / votes.sum(axis=1), 9))
+
+    out = scoring.score_with_function(rows, score, "doc_id long, fold int, code int, confidence double", models)
+    return scoring.decode(out, codes).select("doc_id", "fold", "code", F.col("class").alias("predicted"), "confidence")
+
+
+def q_knn_weighted_jaccard(spark, sf):
+    """The flagship flow with a similarity that dot products can't express."""
+    return knn_cross_validation(_docs(spark, sf), CFG, N_FOLDS, SEED, block_measure=weighted_jaccard).predictions
+
+
 def q_knn_fit_predict(spark, sf):
     bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return knn.KnnClassifier(cfg=CFG).fit(_docs(spark, sf)).predict(bench)
@@ -361,9 +385,11 @@ def q_knn_library_stored(spark, sf):
     what the first one wrote."""
     d, root = _docs(spark, sf), f"{stored_folder(spark)}/artefacts-{uuid.uuid4().hex[:12]}"
     m = _model(spark, sf)
+    inputs = [f"{sf.rstrip('/')}/documents.parquet"]
     for _ in range(2):  # built by the first pass, reused by the second
-        weights = corpus.load_or_build(spark, f"{root}/tfidf", lambda: m.tfidf.select("doc_id", "term", F.col("w").alias("weight")))
-        folds = corpus.load_or_build(spark, f"{root}/folds", lambda: fo.stratified_folds(d, N_FOLDS, SEED))
+        weights = corpus.load_or_build(spark, f"{root}/tfidf", lambda: m.tfidf.select("doc_id", "term", F.col("w").alias("weight")),
+                                       params=CFG, inputs=inputs)
+        folds = corpus.load_or_build(spark, f"{root}/folds", lambda: fo.stratified_folds(d, N_FOLDS, SEED), params=[N_FOLDS, SEED], inputs=inputs)
     return library_knn(d, CFG, n_folds=N_FOLDS, weights=weights, folds=folds).predictions
 
 
@@ -492,6 +518,27 @@ def q_encode_pad_mask(spark, sf):
     return scoring.encode_pad_mask(m.tokens, ids, PAD_MAX_LENGTH, docs=_docs(spark, sf))
 
 
+def q_padded_batches(spark, sf):
+    """Batches of encoded documents of similar length, padded to the batch's longest."""
+    m = _model(spark, sf)
+    encoded = scoring.encoded_documents(m.tokens, scoring.token_ids(m.vocab), PAD_MAX_LENGTH, docs=_docs(spark, sf))
+    batches = scoring.padded_batches(encoded, SEED)
+    places = F.posexplode(F.arrays_zip("input_ids", "attention_mask")).alias("pos", "v")
+    return batches.select("batch_id", "doc_id", places).select("batch_id", "doc_id", "pos", "v.input_ids", "v.attention_mask").select(
+        "batch_id", "doc_id", F.col("pos").cast("int").alias("pos"), F.col("input_ids").cast("int").alias("input_id"),
+        F.col("attention_mask").cast("int").alias("attention_mask"))
+
+
+def q_tfidf_matrix(spark, sf):
+    """The whole matrix stored in blocks and read back as dense slices: per document and slice its columns, zeros
+    and a sum of w by place."""
+    m = _model(spark, sf)
+    dense = tf.dense_rows(tf.matrix_blocks(m.tfidf, _docs(spark, sf), m.idf.select("term")))
+    by_place = F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return dense.select("doc_id", "class", "column_block", F.size("values").cast("long").alias("n_columns"),
+                        F.size(F.filter("values", lambda x: x == 0)).cast("long").alias("n_zeros"), by_place.alias("by_place"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

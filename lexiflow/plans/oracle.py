@@ -299,6 +299,14 @@ SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 9) AS accuracy,
     FROM votes v JOIN codes c ON c.class = v.t_class JOIN folds f ON f.doc_id = v.q JOIN sizes s ON s.fold = f.fold AND s.code = c.code)""") + \
         ("SELECT q AS doc_id, fold, code, t_class AS predicted, round(score / sum(score) OVER (PARTITION BY q), 9) AS confidence "
          "FROM vc QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, code) = 1")
+    q["batch_score_function"] = q["batch_score"]
+    q["knn_weighted_jaccard"] = _with(*MODEL, folds_ctes(), """post AS (SELECT t.doc_id, t.term, t.w, f.fold FROM tfidf t JOIN folds f ON f.doc_id = t.doc_id WHERE t.w <> 0),
+tot1 AS (SELECT doc_id, CAST(sum(w) AS BIGINT) AS s FROM post GROUP BY doc_id),
+least2 AS (SELECT a.doc_id AS lo, b.doc_id AS hi, CAST(sum(least(a.w, b.w)) AS BIGINT) AS m
+    FROM post a JOIN post b ON a.term = b.term AND a.doc_id < b.doc_id AND a.fold <> b.fold GROUP BY 1, 2),
+jsim AS (SELECT lo, hi, round(CAST(m AS DOUBLE) / CAST(x.s + y.s - m AS DOUBLE), 6) AS sim
+    FROM least2 JOIN tot1 x ON x.doc_id = lo JOIN tot1 y ON y.doc_id = hi)""", knn_ctes(sim_table="jsim")) + \
+        "SELECT doc_id, fold, actual, predicted FROM preds"
     q["knn_query_predict"] = _with(*MODEL, *BENCH_MODEL, """binv AS (SELECT doc_id, token AS term FROM btok WHERE token IN (SELECT term FROM vocab)),
 btc AS (SELECT doc_id, term, count(*) AS n FROM binv GROUP BY 1, 2),
 btot AS (SELECT doc_id, sum(n) AS term_count FROM btc GROUP BY 1),
@@ -367,6 +375,21 @@ longest AS (SELECT max(len) AS m FROM lens),
 pads AS (SELECT doc_id, unnest(range(len, (SELECT m FROM longest))) AS pos, 0 AS input_id, 0 AS attention_mask FROM lens)""") + \
         """SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(input_id AS INTEGER) AS input_id, CAST(attention_mask AS INTEGER) AS attention_mask FROM (
     SELECT * FROM body UNION ALL SELECT doc_id, 0, 2, 1 FROM lens UNION ALL SELECT doc_id, len - 1, 3, 1 FROM lens UNION ALL SELECT * FROM pads)"""
+    q["padded_batches"] = _with(*MODEL, f"""ids AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 + 4 AS INTEGER) AS id FROM vocab),
+body AS (SELECT tok.doc_id, tok.pos + 1 AS pos, coalesce(ids.id, 1) AS input_id, 1 AS attention_mask
+    FROM tok LEFT JOIN ids ON ids.term = lower(tok.token) WHERE tok.pos < {L - 2}),
+lens AS (SELECT d.doc_id, least(coalesce(c.n, 0), {L - 2}) + 2 AS len FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM tok GROUP BY 1) c ON c.doc_id = d.doc_id),
+buckets AS (SELECT doc_id, len, CAST(ceil(len / 16.0) AS INTEGER) AS bucket FROM lens),
+dealt AS (SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{C.SEED}'), doc_id) - 1) // 16 AS batch FROM buckets),
+full_ AS (SELECT doc_id, len, bucket || '-' || batch AS batch_id, max(len) OVER (PARTITION BY bucket, batch) AS longest FROM dealt),
+pads AS (SELECT doc_id, unnest(range(len, longest)) AS pos, 0 AS input_id, 0 AS attention_mask FROM full_)""") + \
+        """SELECT batch_id, doc_id, CAST(pos AS INTEGER) AS pos, CAST(input_id AS INTEGER) AS input_id, CAST(attention_mask AS INTEGER) AS attention_mask FROM (
+    SELECT * FROM body UNION ALL SELECT doc_id, 0, 2, 1 FROM lens UNION ALL SELECT doc_id, len - 1, 3, 1 FROM lens UNION ALL SELECT * FROM pads) JOIN full_ USING (doc_id)"""
+    q["tfidf_matrix"] = _with(*MODEL, """cols AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS c FROM idf),
+widths AS (SELECT c // 4096 AS column_block, count(*) AS n_columns FROM cols GROUP BY 1),
+filled AS (SELECT t.doc_id, c // 4096 AS column_block, count(*) AS n, sum(t.w * (c % 4096 + 1)) AS s FROM tfidf t JOIN cols USING (term) WHERE t.w <> 0 GROUP BY 1, 2)""") + \
+        """SELECT d.doc_id, d.class, w.column_block, w.n_columns, w.n_columns - coalesce(f.n, 0) AS n_zeros, CAST(coalesce(f.s, 0) AS BIGINT) AS by_place
+FROM d CROSS JOIN widths w LEFT JOIN filled f ON f.doc_id = d.doc_id AND f.column_block = w.column_block"""
     q["tfidf_table_round_trip"] = q["tfidf"]
     q["folds_file_round_trip"] = _with(docs_cte(), folds_ctes()) + "SELECT f.doc_id, d.text, f.class, f.fold FROM folds f JOIN d ON d.doc_id = f.doc_id"
     q["fold_snapshot_round_trip"] = q["stratified_folds"]

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.cells import Measure, cosine_measure
+from ..operators.cells import BlockMeasure, Measure, cosine_measure
 from ..operators.folds import distinct_classes, stratified_folds
 from ..operators.knn import cross_validated_neighbours, k_from_size, predict
 from ..operators.metrics import macro_metrics
@@ -33,9 +33,10 @@ class KnnRun(NamedTuple):
 
 def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_folds: int = 10, seed: int = 42,
                          k: int | None = None, measure: Measure = cosine_measure, digits: int = 6,
-                         tfidf: DataFrame | None = None, folds: DataFrame | None = None) -> KnnRun:
+                         tfidf: DataFrame | None = None, folds: DataFrame | None = None,
+                         block_measure: BlockMeasure | None = None) -> KnnRun:
     """``docs``: (doc_id, text, class). k defaults to ⌊√N⌋ (one count job). ``measure``: similarity
-    of (dot, |q|², |t|²). ``tfidf`` (doc_id, term, w) and ``folds`` (doc_id, class, fold):
+    of (dot, |q|², |t|²), or ``block_measure``: any similarity of two blocks of vectors. ``tfidf`` (doc_id, term, w) and ``folds`` (doc_id, class, fold):
     stored tables to use instead of computing them."""
     require_columns(docs, ["doc_id", "class"], "documents")
     model = fit_tfidf(docs, cfg) if tfidf is None else None
@@ -44,7 +45,7 @@ def knn_cross_validation(docs: DataFrame, cfg: TfidfConfig = TfidfConfig(), n_fo
         folds, ["doc_id", "class", "fold"], "folds").withColumn("fold", F.col("fold").cast("int"))
     if k is None:
         k = k_from_size(docs.count())
-    found = stored(cross_validated_neighbours(weights, folds, k, measure, digits), "neighbours")
+    found = stored(cross_validated_neighbours(weights, folds, k, measure, digits, block_measure=block_measure), "neighbours")
     preds = predict(found, folds)
     metrics = macro_metrics(preds, distinct_classes(docs))
     return KnnRun(model, weights, folds, k, found, preds, metrics)

@@ -3,7 +3,11 @@ fold files, vocabulary files and metric reports."""
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import asdict, is_dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +58,61 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+MANIFEST = "_manifest.json"
+
+
+def input_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of all files under the paths, sorted."""
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def fingerprint(spark: SparkSession, params: object = None, inputs: Sequence[str] = ()) -> str:
+    """Digest of the parameters (anything JSON can write; dataclasses as dictionaries) and the input files."""
+    plain = asdict(params) if is_dataclass(params) else params
+    return hashlib.sha256(json.dumps([plain, input_files(spark, inputs)], sort_keys=True, default=str).encode()).hexdigest()
+
+
+def _write_file(spark: SparkSession, path: str, text: str) -> None:
+    """The whole file or none: written beside its place, then renamed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
+    fs = place.getFileSystem(conf)
+    stream = fs.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(place, False)
+    if not fs.rename(beside, place):
+        raise OSError(f"could not write {path}")
+
+
+def _manifest(spark: SparkSession, path: str) -> str | None:
+    file = f"{path.rstrip('/')}/{MANIFEST}"
+    if not path_exists(spark, file):
+        return None
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["fingerprint"]
+    finally:
+        stream.close()
+
+
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False,
-                  partition_by: Sequence[str] = ()) -> DataFrame:
-    """Reuse a stored artefact whose write has finished (``_SUCCESS``), else build it, write it and
-    read it back."""
-    if rebuild or not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+                  partition_by: Sequence[str] = (), params: object = None, inputs: Sequence[str] = ()) -> DataFrame:
+    """Reuse a stored artefact that was built from the same parameters and input files, else build it,
+    write it and read it back. A manifest with their fingerprint is written after the data, so one
+    whose write did not finish has none and is built again."""
+    own = fingerprint(spark, params, inputs)
+    if rebuild or _manifest(spark, path) != own:
         write_table(build(), path, partition_by=partition_by)
+        _write_file(spark, f"{path.rstrip('/')}/{MANIFEST}", json.dumps({"fingerprint": own}))
     return spark.read.parquet(path)
 
 

@@ -43,3 +43,11 @@ def test_train_test_split(spark):
     s = train_test_split(f, 3).collect()
     assert len(s) == 27
     assert Counter(r.split for r in s) == {"test": 9, "train": 18}
+
+
+def test_an_id_in_two_classes_loses_one_row(spark):
+    from lexiflow.operators import folds as fo
+
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (0, "b"), (None, None), (3, None)], "doc_id long, class string")
+    left = {tuple(r) for r in fo.drop_first_n_per_class(docs, 1).collect()}
+    assert left == {(1, "b"), (2, "b"), (3, None)}

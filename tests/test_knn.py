@@ -164,3 +164,32 @@ def test_fit_and_predict(spark):
     assert sum(own[i] == truth[i] for i in truth) > 0.9 * len(truth)
     with pytest.raises(ValueError):
         KnnClassifier().fit(docs.drop("class"))
+
+
+def test_block_measures_see_whole_vectors(spark):
+    """Weighted Jaccard by blocks against plain Python; shared sums in small parts."""
+    import random
+
+    from lexiflow.operators import cells
+
+    r = random.Random(5)
+    vec = {d: {f"t{r.randrange(30)}": r.randrange(1, 9) for _ in range(r.randrange(0, 8))} for d in range(60)}
+    rows = [(d, t, w) for d, v in vec.items() for t, w in v.items()]
+    weights = spark.createDataFrame(rows, "doc_id long, term string, w long")
+    folds = spark.createDataFrame([(d, d % 3) for d in vec], "doc_id long, fold int")
+    vectors = cells.document_vectors(weights, folds)
+
+    def jaccard(a, b):
+        least = sum(min(w, vec[b][t]) for t, w in vec[a].items() if t in vec[b])
+        most = sum(vec[a].values()) + sum(vec[b].values()) - least
+        return int(least / most * 1e6 + 0.5) / 1e6 if most else 0.0
+
+    want = []
+    for q in vec:
+        best = sorted((-jaccard(q, t), t % 3, t) for t in vec if t % 3 != q % 3)[:5]
+        want += [(q, i + 1, t, -s) for i, (s, _, t) in enumerate(best)]
+    for products in (2_000_000, 7):
+        old, cells.PRODUCTS = cells.PRODUCTS, products
+        got = cells.top_k(vectors, vectors, 5, buckets=(2, 3), block_measure=cells.weighted_jaccard).collect()
+        cells.PRODUCTS = old
+        assert sorted((x["q"], x["rank"], x["t"], x["sim"]) for x in got) == sorted(want)

@@ -108,3 +108,27 @@ def test_half_written_artefact_is_built_again(spark, tmp_dir):
     with open(f"{tmp_dir}/half/part-00000.parquet", "w") as fh:
         fh.write("broken")
     assert S.load_or_build(spark, f"{tmp_dir}/half", lambda: spark.range(4)).count() == 4
+
+
+def test_an_artefact_fits_its_parameters_and_files(spark, tmp_dir):
+    from lexiflow.operators.tfidf import TfidfConfig
+
+    spark.range(2).write.parquet(f"{tmp_dir}/in")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    get = lambda cfg: S.load_or_build(spark, f"{tmp_dir}/out", build, params=cfg, inputs=[f"{tmp_dir}/in"]).count()
+    assert get(TfidfConfig(min_df=1)) == 3 and get(TfidfConfig(min_df=1)) == 3 and len(calls) == 1
+    get(TfidfConfig(min_df=2))  # other parameters: built again
+    assert len(calls) == 2
+    get(TfidfConfig(min_df=2))
+    assert len(calls) == 2
+    spark.range(5).write.mode("append").parquet(f"{tmp_dir}/in")  # another input file
+    get(TfidfConfig(min_df=2))
+    assert len(calls) == 3
+    os.remove(f"{tmp_dir}/out/{S.MANIFEST}")  # as after a write that did not finish
+    get(TfidfConfig(min_df=2))
+    assert len(calls) == 4 and os.path.exists(f"{tmp_dir}/out/{S.MANIFEST}")

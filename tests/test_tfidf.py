@@ -43,3 +43,21 @@ def test_tf_sums_to_one(spark):
     m = fit_tfidf(docs, TfidfConfig(min_df=1, max_df=10**12))  # no term filtered out
     sums = m.tfidf.groupBy("doc_id").agg(F.sum("tf").alias("s"))
     assert sums.where(F.abs(F.col("s") - 1.0) > 1e-9).count() == 0
+
+
+def test_the_whole_matrix_is_read_back(spark):
+    """Blocks of two rows and three columns: every cell, zeros and a document without an entry."""
+    from lexiflow.operators import tfidf as tf
+
+    cells = {(10, "b"): 5, (10, "e"): -2, (20, "a"): 7, (40, "d"): 1, (40, "g"): 9}
+    weights = spark.createDataFrame([(d, t, w) for (d, t), w in cells.items()] + [(20, "c", 0)], "doc_id long, term string, w long")
+    docs = spark.createDataFrame([(10, "x"), (20, "y"), (30, "x"), (40, None), (50, "y")], "doc_id long, class string")
+    terms = spark.createDataFrame([(t,) for t in "abcdefg"], "term string")
+    matrix = tf.matrix_blocks(weights, docs, terms, 2, 3)
+    found = {}
+    for r in tf.dense_rows(matrix, 2, 3).collect():
+        assert r["class"] == {10: "x", 20: "y", 30: "x", 40: None, 50: "y"}[r["doc_id"]]
+        for i, w in enumerate(r["values"]):
+            found[r["doc_id"], "abcdefg"[r["first_column"] + i]] = w
+    assert found == {(d, t): cells.get((d, t), 0) for d in (10, 20, 30, 40, 50) for t in "abcdefg"}
+    assert matrix.blocks.count() == 4  # empty blocks are not stored
