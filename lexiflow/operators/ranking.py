@@ -55,3 +55,14 @@ def range_rank(keys: DataFrame, key: str, out: str) -> DataFrame:
     sizes = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1)
     return local.join(sizes, F.col("_part") == F.col("_p")).select(key, (F.col("_local") + F.col("_off")).alias(out))
+
+
+def running_sum(df: DataFrame, col: str, out: str, part: str = "part", at: str = "at") -> DataFrame:
+    """Add ``out``: the sum of ``col`` over all rows before, in the order of (``part``, ``at``). Summed inside
+    each part (as long as the part) plus the totals of the parts before."""
+    inside = Window.partitionBy(part).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    totals = df.groupBy(part).agg(F.sum(col).alias("_total"))
+    totals = totals.select(F.col(part).alias("_part"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    own = df.withColumn(out, F.coalesce(F.sum(col).over(inside), F.lit(0)))
+    return own.join(totals, F.col(part) == F.col("_part")).withColumn(out, F.col(out) + F.col("_before")).drop("_part", "_before")

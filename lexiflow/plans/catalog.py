@@ -417,6 +417,13 @@ def q_folds_file_round_trip(spark, sf):
     return corpus.read_folds(spark, path)
 
 
+def q_folds_json_round_trip(spark, sf):
+    """The nested fold document written and read again."""
+    path = _folder(spark)
+    corpus.write_folds_json(_labelled_folds(spark, sf), path)
+    return corpus.read_folds_json(spark, path)
+
+
 def q_fold_snapshot_round_trip(spark, sf):
     """Folds as a table partitioned by fold."""
     path = _folder(spark)

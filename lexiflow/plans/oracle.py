@@ -392,6 +392,7 @@ filled AS (SELECT t.doc_id, c // 4096 AS column_block, count(*) AS n, sum(t.w *
 FROM d CROSS JOIN widths w LEFT JOIN filled f ON f.doc_id = d.doc_id AND f.column_block = w.column_block"""
     q["tfidf_table_round_trip"] = q["tfidf"]
     q["folds_file_round_trip"] = _with(docs_cte(), folds_ctes()) + "SELECT f.doc_id, d.text, f.class, f.fold FROM folds f JOIN d ON d.doc_id = f.doc_id"
+    q["folds_json_round_trip"] = q["folds_file_round_trip"]
     q["fold_snapshot_round_trip"] = q["stratified_folds"]
     q["fold_csv_round_trip"] = q["fold_train_test_split"]
     q["vocabulary_file_round_trip"] = q["vocab_union"]

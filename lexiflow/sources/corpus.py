@@ -9,11 +9,12 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, is_dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_text
-from ..operators.ranking import range_rank
+from ..operators.ranking import range_rank, running_sum
+from ..session import stored
 
 
 def require_columns(df: DataFrame, cols: Sequence[str], what: str = "input") -> DataFrame:
@@ -117,19 +118,82 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 
 
 # ------------------------------------------------------------------ folds
-FOLDS_JSON_SCHEMA = "map<string,struct<text:map<string,string>,class:map<string,string>>>"
-
-
 def read_folds_json(spark: SparkSession, path: str) -> DataFrame:
     """Nested fold file ``{fold: {"text": {idx: text}, "class": {idx: class}}}`` →
-    (doc_id, text, class, fold). The file is one JSON document, so it is parsed by one
-    task; ``write_folds`` / ``read_folds`` use a row-per-document layout instead."""
-    doc = spark.read.text(path, wholetext=True)
-    folds = doc.select(F.explode(F.from_json("value", FOLDS_JSON_SCHEMA)).alias("fold", "f"))
-    rows = folds.select("fold", "f.class", F.explode("f.text").alias("idx", "text"))
-    return rows.select(F.col("idx").cast("bigint").alias("doc_id"), "text",
-                       F.element_at("class", F.col("idx")).alias("class"),
-                       F.col("fold").cast("int").alias("fold"))
+    (doc_id, text, class, fold), in any layout of white space and order of the two sections. ``path`` is one
+    file, or a folder whose files put together in the order of their names are the document.
+
+    The document is read by as many tasks as it has byte ranges: Spark's text
+    source cuts it at quotes, so its pieces lie inside and outside of strings in turn (a piece
+    that ends with an odd number of backslashes is cut at an escaped quote). What a piece is follows
+    from what lies before it, as running sums: quotes give the number of the string it belongs to,
+    braces its depth, keys of depth two the section. A sum runs inside a byte range and adds the totals of
+    the ranges before."""
+    raw = spark.read.option("lineSep", '"').text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("piece"))
+    raw = stored(raw.withColumn("part", F.concat_ws("/", "file", "start")), "fold-pieces")
+    ends = raw.groupBy("file").agg(F.max(F.struct("start", "at")).alias("e"))  # no quote behind a file's last piece
+    ends = ends.select(F.col("file").alias("e_file"), F.col("e.start").alias("e_start"), F.col("e.at").alias("e_at"))
+    raw = raw.join(ends, (F.col("file") == F.col("e_file")) & (F.col("start") == F.col("e_start")) & (F.col("at") == F.col("e_at")), "left")
+    escaped = F.length(F.regexp_extract("piece", r"\\*$", 0)) % 2
+    raw = raw.select("part", "at", "piece", F.when(F.col("e_at").isNull(), 1 - escaped).otherwise(0).alias("ends"))
+    quotes = running_sum(raw, "ends", "before")
+    quotes = quotes.withColumn("inside", F.col("before") % 2 == 1).withColumn("string", F.floor(F.col("before") / 2))
+    # strings put together from their pieces; what stands outside follows a string of the number before
+    parts = F.array_sort(F.collect_list(F.struct("part", "at", "piece")))
+    whole = lambda between: F.array_join(F.transform(parts, lambda x: x["piece"]), between)
+    text = quotes.where("inside").groupBy("string").agg(whole('"').alias("raw"))
+    count = lambda c: F.length("piece") - F.length(F.replace("piece", F.lit(c)))
+    outside = quotes.where("NOT inside").groupBy("string").agg(F.min(F.struct("part", "at")).alias("p"), whole("").alias("piece"))
+    outside = outside.select("p.part", "p.at", "piece", "string", (count("{") - count("}")).alias("nest"))
+    outside = running_sum(stored(outside, "fold-outside"), "nest", "depth")
+    # the piece behind string n has the number n + 1; its depth so far is that of the string
+    behind = outside.select((F.col("string") - 1).alias("string"), "part", "at", "depth", F.col("piece").rlike(r"^\s*:").alias("is_key"),
+                            F.regexp_extract("piece", r"^\s*:\s*([^\s,{}]+)", 1).alias("literal"))
+    value = F.from_json(F.concat(F.lit('["'), "raw", F.lit('"]')), "array<string>")[0]
+    strings = text.join(behind, "string").select("string", "part", "at", "depth", "is_key", "literal", value.alias("value"))
+    strings = strings.withColumn("section", (F.col("is_key") & (F.col("depth") == 2)).cast("int"))
+    strings = stored(running_sum(stored(strings, "fold-strings"), "section", "sections"), "fold-sections")
+    keys = strings.where("is_key")
+    names = keys.where("depth = 2").select((F.col("sections") + 1).alias("n_section"), F.col("value").alias("name"))
+    # the key of a fold stands before its first section; sections up to the next fold are its own
+    folds = keys.where("depth = 1").select(F.col("sections").alias("first"), F.col("value").alias("fold"))
+    until = folds.withColumn("upto", F.lead("first").over(Window.orderBy("first")))  # one row per fold
+    last = names.agg(F.max("n_section")).scalar()
+    of_fold = until.select("fold", F.explode(F.sequence(F.col("first") + 1, F.greatest(F.coalesce("upto", last), F.col("first") + 1))).alias("n_section"))
+    sections = names.join(of_fold, "n_section")
+    entries = keys.where("depth = 3").select((F.col("string") + 1).alias("v_string"), F.col("sections").alias("n_section"), F.col("value").alias("idx"), "literal")
+    told = strings.select(F.col("string").alias("v_string"), F.col("value").alias("v"))
+    entries = entries.join(told, "v_string", "left").join(sections, "n_section").select(
+        "fold", "name", "idx", F.when(F.col("literal") == "", F.col("v")).when(F.col("literal") != "null", F.col("literal")).alias("v"))
+    texts = entries.where("name = 'text'").select("fold", "idx", F.col("v").alias("text"))
+    classes = entries.where("name = 'class'").select(F.col("fold").alias("c_fold"), F.col("idx").alias("c_idx"), F.col("v").alias("class"))
+    rows = texts.join(classes, (F.col("fold") == F.col("c_fold")) & (F.col("idx") == F.col("c_idx")), "left")
+    return rows.select(F.col("idx").cast("bigint").alias("doc_id"), "text", "class", F.col("fold").cast("int").alias("fold"))
+
+
+def write_folds_json(folds: DataFrame, path: str) -> None:
+    """(doc_id, text, class, fold) as the nested document that ``read_folds_json`` reads: a folder of text files
+    that are the document when put together in the order of their names. Rows are dealt by ranges of
+    (fold, section, doc_id), so the largest fold is written by many tasks."""
+    literal = lambda c: F.coalesce(F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1), F.lit("null"))
+    first = folds.groupBy(F.col("fold").alias("f_fold")).agg(F.min("doc_id").alias("f_id"))
+    lowest = folds.select(F.min("fold")).scalar()
+    entry = F.concat(F.when(F.col("doc_id") == F.col("f_id"), "").otherwise(", "), F.lit('"'), F.col("doc_id").cast("string"), F.lit('": '))
+    rows = folds.select("fold", "doc_id", "text", "class").join(first, F.col("fold") == F.col("f_fold"))
+    lines = rows.select("fold", F.explode(F.array(*(F.struct(F.lit(i).alias("section"), F.lit(1).alias("kind"), "doc_id", F.concat(
+        entry, literal(c)).alias("line")) for i, c in enumerate(("text", "class"))))).alias("x")).select("fold", "x.*")
+    none = F.lit(None).cast(folds.schema["doc_id"].dataType)
+    start = F.concat(F.when(F.col("f_fold") == lowest, "{").otherwise("}}, "), F.lit('"'), F.col("f_fold").cast("string"), F.lit('": {"text": {'))
+    heads = first.select(F.col("f_fold").alias("fold"), F.explode(F.array(
+        F.struct(F.lit(0).alias("section"), F.lit(0).alias("kind"), none.alias("doc_id"), start.alias("line")),
+        F.struct(F.lit(1).alias("section"), F.lit(0).alias("kind"), none.alias("doc_id"), F.lit('}, "class": {').alias("line")))).alias("x")).select("fold", "x.*")
+    end = folds.agg(F.max("fold").alias("fold")).select("fold", F.lit(2).alias("section"), F.lit(0).alias("kind"), none.alias("doc_id"),
+                                                        F.when(F.col("fold").isNull(), "{}").otherwise("}}}").alias("line"))
+    order = ["fold", "section", "kind", "doc_id"]
+    (lines.unionByName(heads).unionByName(end).repartitionByRange(*order).sortWithinPartitions(*order).select("line")
+     .write.mode("overwrite").text(path))
 
 
 def write_folds(folds: DataFrame, path: str) -> None:

@@ -132,3 +132,49 @@ def test_an_artefact_fits_its_parameters_and_files(spark, tmp_dir):
     os.remove(f"{tmp_dir}/out/{S.MANIFEST}")  # as after a write that did not finish
     get(TfidfConfig(min_df=2))
     assert len(calls) == 4 and os.path.exists(f"{tmp_dir}/out/{S.MANIFEST}")
+
+
+@pytest.mark.parametrize("bytes_per_task", ["60b", "128m"])
+@pytest.mark.parametrize("layout", [{"indent": 1}, {"separators": (",", ":"), "ensure_ascii": False}])
+def test_folds_json_by_byte_ranges(spark, tmp_dir, bytes_per_task, layout):
+    """Escapes, quotes, braces and line ends in texts, cut at any place; classes before texts in one fold."""
+    import random
+
+    r = random.Random(4)
+    awkward = ["", '"', '\\', 'a", "b', '\\"', 'x\\', '{"text": {"1": "no"}}', "}, {", "ü \n\t é 😀", ": {", '", ', '\\", \\"', "null", "[1, 2]", "\r\n"]
+    text = lambda: "".join(r.choice(awkward + ["w ", "zz "]) for _ in range(r.randrange(6)))
+    want, doc = [], {}
+    for fold in range(3):
+        ids = r.sample(range(fold * 100, fold * 100 + 100), 12)
+        rows = [(i, text(), r.choice(["a", "b \"q\"", None]), fold) for i in ids]
+        want += rows
+        sections = {"text": {str(i): t for i, t, _, _ in rows}, "class": {str(i): c for i, _, c, _ in rows}}
+        doc[str(fold)] = dict(reversed(sections.items())) if fold == 1 else sections
+    path = f"{tmp_dir}/folds.json"
+    with open(path, "w", encoding="utf-8", newline="") as fh:
+        json.dump(doc, fh, **layout)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_per_task)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        tasks = spark.read.option("lineSep", '"').text(path).rdd.getNumPartitions()
+        assert tasks > 10 or bytes_per_task != "60b"
+        got = S.read_folds_json(spark, path).select("doc_id", "text", "class", "fold").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_nested_folds_written_by_many_tasks(spark, tmp_dir):
+    """The files together are the document, for this reader and for any other."""
+    rows = [(i, ['say "x"', "a\\", "", "line\nend", "é 😀", None][i % 6], [None, "c", "d"][i % 3], i % 4) for i in range(300)]
+    folds = spark.createDataFrame(rows, "doc_id long, text string, class string, fold int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    S.write_folds_json(folds, f"{tmp_dir}/nested")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(f for f in os.listdir(f"{tmp_dir}/nested") if f.startswith("part-"))
+    assert len(files) > 3
+    doc = json.loads("".join(open(f"{tmp_dir}/nested/{f}", encoding="utf-8").read() for f in files))
+    assert sorted((int(i), t, f["class"][i], int(k)) for k, f in doc.items() for i, t in f["text"].items() if t is not None) == sorted(r for r in rows if r[1] is not None)
+    got = S.read_folds_json(spark, f"{tmp_dir}/nested").select("doc_id", "text", "class", "fold").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
