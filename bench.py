@@ -20,6 +20,8 @@ HEADLINE = (
     "query_similarity",
     "knn_library",
     "knn_cross_validate",
+    "all_pairs_similarity",
+    "knn_embeddings",
 )
 
 

@@ -31,7 +31,7 @@ EOW = "_"
 BPE_MERGES = 20  # of the queries whose SQL unrolls the merges
 BPE_FULL_MERGES = 10_000  # the reference's default, for the queries named ..._full
 WIDE_TERMS = 8
-JOIN_MIN_SIM = 0.4  # of the similarity join
+JOIN_MIN_SIM = 0.75  # of the similarity join
 PAD_MAX_LENGTH = 256
 STEM_LENGTH = 5
 QUERY_EVERY = 20  # vectors whose id is divisible by it are the queries
