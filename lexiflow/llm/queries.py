@@ -226,6 +226,66 @@ FROM marked GROUP BY conv_id
 """
 
 
+def _op12() -> str:
+    """Damage by crc32 bit by bit, then the cheapest edits turn by turn: per state one string of cost
+    (nine digits) and letters, so the least string is the cheapest, then the least in ASCII."""
+    def more(x: str, cost: str, letter: str) -> str:
+        return f"CASE WHEN {x} IS NULL THEN NULL ELSE printf('%09d', {x}[1:9]::INTEGER + {cost}) || {x}[10:] || '{letter}' END"
+
+    insert = lambda x: more(x, str(repair.INSERT), "I")
+    delete = lambda x: more(x, str(repair.DELETE), "D")
+    when = lambda test, then: f"CASE WHEN {test} THEN {then} END"
+    rerole = f"x.p + {repair.REROLE}"
+    user = f"least(acc.u, {insert('acc.n')}, {insert('acc.s')}, {insert('acc.a')})"
+    closed = f"list_transform([{{n: acc.n, s: acc.s, u: {user}, a: acc.a}}], lambda c: {{n: c.n, s: c.s, u: c.u, a: least(c.a, {insert('c.u')}), m: least(c.n, c.s, c.a, {insert('c.u')})}})"
+    step = f"""{{n: {delete('c.n')}, s: least({delete('c.s')}, {when("x.i = 's' AND NOT x.f", more('c.n', 'x.p', 'K'))}),
+    u: least({delete('c.u')}, {when("x.i = 'u' AND NOT x.f", more('c.m', 'x.p', 'K'))}, {when('NOT x.f', more('c.m', rerole, 'R'))}),
+    a: least({delete('c.a')}, {when("x.i = 'a' AND NOT x.f", more('c.u', 'x.p', 'K'))}, {when('NOT x.f', more('c.u', rerole, 'R'))})}}"""
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS t,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT) AS k
+  FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(k, lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+           lambda x, o: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT) % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(t, '.!?', '') ELSE t END AS t, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || t), copy) AS pos,
+         left(role, 1) AS i, rtrim(t, {spaces}) AS shown FROM damaged),
+faulty AS (
+  SELECT *, shown = '' AS blank, shown <> '' AND row_number() OVER (PARTITION BY conv_id, role, t ORDER BY pos) > 1 AS again,
+         lag(i) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed),
+told AS (
+  SELECT *, NOT blank AND NOT again AND right(shown, 1) NOT IN ('.', '!', '?') AS cut FROM faulty),
+convs AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND (before || i) NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({{i: i, f: blank OR again, p: CASE WHEN cut THEN {repair.TRUNCATED} ELSE 0 END, role: role, t: t}} ORDER BY pos) AS turns
+  FROM told GROUP BY conv_id),
+ends AS (
+  SELECT *, list_transform([list_reduce(turns, lambda acc, x: list_transform({closed}, lambda c: {step})[1],
+    {{n: '000000000', s: NULL::VARCHAR, u: NULL::VARCHAR, a: NULL::VARCHAR}})], lambda acc: least(acc.n, list_transform({closed}, lambda c: c.a)[1]))[1] AS best FROM convs),
+repaired AS (
+  SELECT *, list_reduce(string_split(best[10:], ''), lambda acc, e: CASE e
+    WHEN 'D' THEN {{k: acc.k + 1, s: acc.s, o: acc.o}}
+    WHEN 'I' THEN {{k: acc.k, s: CASE acc.s WHEN 'u' THEN 'a' ELSE 'u' END, o: list_append(acc.o, CASE acc.s WHEN 'u' THEN 'assistant:' ELSE 'user:' END)}}
+    WHEN 'K' THEN {{k: acc.k + 1, s: turns[acc.k].i, o: list_append(acc.o, turns[acc.k].role || ':' || turns[acc.k].t)}}
+    WHEN 'R' THEN {{k: acc.k + 1, s: CASE acc.s WHEN 'u' THEN 'a' ELSE 'u' END,
+                    o: list_append(acc.o, CASE acc.s WHEN 'u' THEN 'assistant:' ELSE 'user:' END || turns[acc.k].t)}}
+    ELSE acc END, {{k: 1::BIGINT, s: '', o: []::VARCHAR[]}}).o AS lines FROM ends)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best[1:9]::BIGINT, 0) AS cost,
+       coalesce(best[10:], '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def _op13(k: int = 16, rounds: int = 3) -> str:
     """All vectors against all centroids, round by round."""
     nearest = """
@@ -258,5 +318,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": _OP7,
     "op10_host_rules": _op10(),
     "op11_chat_format": _OP11,
+    "op12_conversation_repair": _op12(),
     "op13_hilbert_clusters": _op13(),
 }
