@@ -134,7 +134,7 @@ def test_an_artefact_fits_its_parameters_and_files(spark, tmp_dir):
     assert len(calls) == 4 and os.path.exists(f"{tmp_dir}/out/{S.MANIFEST}")
 
 
-@pytest.mark.parametrize("bytes_per_task", ["60b", "128m"])
+@pytest.mark.parametrize("bytes_per_task", ["150b", "128m"])
 @pytest.mark.parametrize("layout", [{"indent": 1}, {"separators": (",", ":"), "ensure_ascii": False}])
 def test_folds_json_by_byte_ranges(spark, tmp_dir, bytes_per_task, layout):
     """Escapes, quotes, braces and line ends in texts, cut at any place; classes before texts in one fold."""
@@ -157,7 +157,7 @@ def test_folds_json_by_byte_ranges(spark, tmp_dir, bytes_per_task, layout):
     spark.conf.set("spark.sql.files.openCostInBytes", "1b")
     try:
         tasks = spark.read.option("lineSep", '"').text(path).rdd.getNumPartitions()
-        assert tasks > 10 or bytes_per_task != "60b"
+        assert tasks > 10 or bytes_per_task != "150b"
         got = S.read_folds_json(spark, path).select("doc_id", "text", "class", "fold").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
