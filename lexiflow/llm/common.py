@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lexiflow.session import stored  # noqa: F401  tables in the shared checkpoint folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Bytes of a rejected key in a hash table.
+KEY_BYTES = 64
 #: White space that separates words, as the inside of a character class.
 SPACE = r"\x20\x09-\x0D"
 
@@ -42,8 +44,12 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the documents named in ``rejected`` (k_id, k_text); columns unchanged. The keys
-    are the hashed side of the join, so no text is sorted."""
+    """``docs`` without the documents named in ``rejected`` (k_id, k_text); columns unchanged. Few keys are
+    broadcast, if their counted size is within the session's bound; else they are the hashed side of
+    a shuffled join, so no text is sorted."""
+    rejected = stored(rejected.select("k_id", "k_text"), "rejected-keys")
+    bound = rejected.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    keys = F.broadcast(rejected) if rejected.count() * KEY_BYTES <= bound else rejected.hint("shuffle_hash")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     same = docs["doc_id"].eqNullSafe(rejected["k_id"]) & (F.xxhash64(text) == rejected["k_text"])
-    return docs.join(rejected.hint("shuffle_hash"), same, "left_anti")
+    return docs.join(keys, same, "left_anti")
