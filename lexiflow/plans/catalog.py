@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_STOP_WORDS, sanitize_chars, sanitize_text
-from ..operators import bpe, dense, folds as fo, knn, metrics as me, scoring, similarity as si, simjoin, tfidf as tf
+from ..operators import bpe, dense, folds as fo, knn, metrics as me, pruned, scoring, similarity as si, simjoin, tfidf as tf
 from ..operators.cells import dot_measure, weighted_jaccard
 from ..session import stored_folder
 from ..sources import corpus
@@ -32,9 +32,10 @@ BPE_MERGES = 20  # of the queries whose SQL unrolls the merges
 BPE_FULL_MERGES = 10_000  # the reference's default, for the queries named ..._full
 WIDE_TERMS = 8
 JOIN_MIN_SIM = 0.75  # of the similarity join
+NEAREST_K = 10  # documents per query of nearest_documents
 PAD_MAX_LENGTH = 256
 STEM_LENGTH = 5
-QUERY_EVERY = 20  # vectors whose id is divisible by it are the queries
+QUERY_EVERY = 20  # vectors and documents whose id is divisible by it are the queries
 SKIPPED_FOLD = 3  # the fold without a model in batch_score
 # A second stop list that does hit the (mostly English/French/German/Spanish) test corpus.
 EXTRA_STOP_WORDS = ("the", "of", "and", "le", "la", "de", "der", "und", "el", "y")
@@ -250,6 +251,13 @@ def q_similarity_join(spark, sf):
     return simjoin.similarity_join(_model(spark, sf).tfidf, JOIN_MIN_SIM, folds)
 
 
+def q_nearest_documents(spark, sf):
+    """The NEAREST_K nearest documents of other folds for every document whose id is divisible by QUERY_EVERY."""
+    folds = fo.stratified_folds(_docs(spark, sf), N_FOLDS, SEED)
+    queries = folds.where(F.col("doc_id") % QUERY_EVERY == 0)
+    return pruned.top_k(_model(spark, sf).tfidf, queries, folds, NEAREST_K).select("q", "rank", "t", "sim")
+
+
 def q_query_similarity(spark, sf):
     m = _model(spark, sf)
     bench = read_table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")

@@ -345,6 +345,10 @@ qp2 AS (SELECT q, t_class AS predicted FROM qv QUALIFY row_number() OVER (PARTIT
         "SELECT rank, vec_id, label, sim, (SELECT label FROM best) AS predicted FROM top"
     q["similarity_join"] = _with(*MODEL, folds_ctes(), pairs_ctes()) + \
         f"SELECT lo, hi, dot, sim FROM psim WHERE abs(sim) >= {C.JOIN_MIN_SIM}"
+    q["nearest_documents"] = _with(*MODEL, folds_ctes(), pairs_ctes(), f"""met AS (SELECT lo AS q, hi AS t, sim FROM psim UNION ALL SELECT hi AS q, lo AS t, sim FROM psim),
+near AS (SELECT met.q, met.t, met.sim, CAST(row_number() OVER (PARTITION BY met.q ORDER BY met.sim DESC, f.fold, met.t) AS INTEGER) AS rank
+    FROM met JOIN folds f ON f.doc_id = met.t WHERE met.q % {C.QUERY_EVERY} = 0 AND met.sim > 0 QUALIFY rank <= {C.NEAREST_K})""") + \
+        "SELECT q, rank, t, sim FROM near"
     q["stratified_folds"] = _with(docs_cte(), folds_ctes()) + "SELECT doc_id, class, fold FROM folds"
     q["class_counts"] = _with(docs_cte()) + "SELECT class, count(*) AS cnt FROM d GROUP BY class"
     pct = "round_even((CAST(count(*) AS DOUBLE) * 100.0) / (SELECT CAST(count(*) AS DOUBLE) FROM d), 4)"

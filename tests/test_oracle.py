@@ -17,7 +17,7 @@ FAST = ["sanitize_text", "sanitize_tokens", "sanitize_chars", "stopword_anti_joi
         "bpe_train", "bpe_train_symbol", "bpe_vocab", "bpe_full_words", "bpe_segmented", "tfidf_bpe_vocab", "stem_vocab",
         "tfidf_wide_top_terms", "knn_library_stored", "knn_fit_predict", "knn_custom_similarity", "batch_score",
         "folds_file_round_trip", "fold_snapshot_round_trip", "fold_csv_round_trip", "vocabulary_file_round_trip",
-        "metrics_csv_round_trip", "tfidf_table_round_trip"]
+        "metrics_csv_round_trip", "tfidf_table_round_trip", "nearest_documents"]
 
 
 @pytest.fixture(scope="module")
