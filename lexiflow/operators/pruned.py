@@ -43,11 +43,12 @@ def _ranked(sims: DataFrame, folds: DataFrame, k: int) -> DataFrame:
 def lower_bounds(entries: DataFrame, weights: DataFrame, queries: DataFrame, folds: DataFrame, k: int, digits: int = 6, weight: str = "w") -> DataFrame:
     """(q, bound): the k-th best similarity of a query among the heads of its strongest terms; queries with
     fewer than k there are left out."""
+    own = entries.join(queries.select("doc_id", "fold"), "doc_id")
+    own = stored(first_k(own, ["doc_id"], SEED_TERMS, [F.abs("x").desc(), F.col("term")], F.col("term")).select("doc_id", "fold", "term"), "seed-terms")
     strong = [F.abs("x").desc(), F.col("doc_id")]
-    heads = first_k(entries.select("doc_id", "term", "x"), ["term"], HEAD * k, strong, F.col("doc_id"))
+    asked = entries.select("doc_id", "term", "x").join(own.select("term").distinct(), "term", "left_semi")  # heads of these terms only
+    heads = first_k(asked, ["term"], HEAD * k, strong, F.col("doc_id"))
     heads = heads.select("term", F.col("doc_id").alias("hi")).join(folds.select(F.col("doc_id").alias("hi"), F.col("fold").alias("fold_hi")), "hi")
-    own = entries.join(queries.select("doc_id", "fold"), "doc_id")
-    own = first_k(own, ["doc_id"], SEED_TERMS, [F.abs("x").desc(), F.col("term")], F.col("term"))
     seeds = own.select("term", F.col("doc_id").alias("lo"), "fold").join(heads, "term").where("fold <> fold_hi").select("lo", "hi").distinct()
     sims = confirmed(stored(seeds, "seed-pairs"), weights, 10.0**-digits, digits, weight)
     return _ranked(sims, folds, k).where(F.col("rank") == k).select("q", F.col("sim").alias("bound"))
