@@ -61,3 +61,26 @@ def test_the_whole_matrix_is_read_back(spark):
             found[r["doc_id"], "abcdefg"[r["first_column"] + i]] = w
     assert found == {(d, t): cells.get((d, t), 0) for d in (10, 20, 30, 40, 50) for t in "abcdefg"}
     assert matrix.blocks.count() == 4  # empty blocks are not stored
+
+
+def test_entries_are_not_shuffled(spark, monkeypatch):
+    """Words counted in the rows give what grouping and joins give; also where a term is made by another token only."""
+    from lexiflow.operators import tfidf as tf
+
+    docs = spark.createDataFrame([(0, "ab cannot can Not gonna x y"), (1, "Ab ab na gon x x zu"), (2, None), (3, "zu Cannot not ve"), (4, "Ab")], "doc_id long, text string")
+    cfg = TfidfConfig(extra_stop_words=("zu",), min_df=0.1, max_df=5.0)
+    words = tf.corpus_tokens(docs, cfg)
+    want = fit_tfidf(docs, cfg, vocab=tf.vocabulary(words, cfg))  # looked up in a given vocabulary
+    for apart in ({}, {"x": ("x", "q"), "ab": ("ab", "q")}):  # the second: not told by themselves, though in the vocabulary
+        monkeypatch.setattr(tf, "CONTRACTION_SPLITS", {**tf.CONTRACTION_SPLITS, **apart})
+        got = fit_tfidf(docs, cfg)
+        for name in ("tfidf", "counts", "totals", "in_vocab", "idf"):
+            a, b = getattr(got, name), getattr(want, name)
+            assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), (name, apart)
+        assert got.tfidf.count() > 0 and (apart or "Exchange hashpartitioning" not in got.tfidf._jdf.queryExecution().executedPlan().toString())
+
+
+def test_repeated_ids_are_grouped(spark):
+    docs = spark.createDataFrame([(0, "ab ab cd"), (0, "ab"), (None, "cd"), (None, "cd ef")], "doc_id long, text string")
+    m = fit_tfidf(docs, TfidfConfig(min_df=0.1, max_df=5.0))
+    assert {(r.doc_id, r.term, r.n, r.term_count) for r in m.tfidf.collect()} == {(0, "ab", 3, 4), (0, "cd", 1, 4), (None, "cd", 2, 3), (None, "ef", 1, 3)}
