@@ -68,3 +68,12 @@ def test_fifty_thousand_vectors(spark):
     got = dense.top_k(df.where("vec_id % 20 = 0"), df, 3)
     best = got.where("rank = 1").selectExpr("count(*) AS n", "count_if(t = q + 1) AS hit").first()
     assert best["n"] == 2500 and best["hit"] == 2500
+
+
+def test_vectors_are_not_copied_to_blocks(spark):
+    """The blocks are read from where they are stored: only the best rows of a block are shuffled, for the merge."""
+    e = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)], "vec_id long, embedding array<double>")
+    got = dense.top_k(e, e, 5, blocks=(2, 3))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert got.count() == 300
