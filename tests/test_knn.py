@@ -193,3 +193,12 @@ def test_block_measures_see_whole_vectors(spark):
         got = cells.top_k(vectors, vectors, 5, buckets=(2, 3), block_measure=cells.weighted_jaccard).collect()
         cells.PRODUCTS = old
         assert sorted((x["q"], x["rank"], x["t"], x["sim"]) for x in got) == sorted(want)
+
+
+def test_the_smaller_side_is_copied():
+    """Few queries: the train vectors go to one cell each, whatever the number of tasks."""
+    assert cells._buckets(200, 50_000, 24, 2048) == (1, 25)  # 25 cells for the memory of a cell
+    assert cells._buckets(200, 5_000, 24, 8192) == (1, 24)
+    assert cells._buckets(50_000, 200, 24, 2048) == (25, 1)
+    s_q, s_c = cells._buckets(5_000, 5_000, 24, 8192)
+    assert s_q * s_c >= 24 and abs(s_q - s_c) <= 1 and cells._buckets(1, 1, 24, 8192) == (1, 1) and cells._buckets(0, 9, 4, 8) == (1, 4)
