@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_rows, free_name, row_key, stored, text_or_empty
+from .common import drop_rows, free_name, row_key, semi_join, stored, text_or_empty
 
 #: Distinct digests per filter (about 1.13 bytes each), and the least number of filters.
 KEYS_PER_FILTER = 20_000
@@ -174,8 +174,8 @@ def exact_dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
 
     # byte check: group the candidates by digest and whole text
     text = text_or_empty()
-    candidates = (docs.select(F.col("doc_id").alias("k_id"), text.alias("t")).withColumn("h", F.xxhash64("t"))
-                  .join(wanted, "h", "left_semi").withColumn("sha", F.unhex(F.sha2("t", 256))))
+    candidates = docs.select(F.col("doc_id").alias("k_id"), text.alias("t")).withColumn("h", F.xxhash64("t"))
+    candidates = semi_join(candidates, wanted, "h", F.xxhash64).withColumn("sha", F.unhex(F.sha2("t", 256)))
     texts = candidates.groupBy("sha", "t").agg(F.max("k_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     sized = stored(texts.groupBy("sha").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"),
                                             F.sum("group_size").alias("group_size")), "byte-groups")

@@ -34,13 +34,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import row_key, stored, text_or_empty
+from .common import row_key, semi_join, stored, text_or_empty
 from .components import connected_components
 from .shingles import column_sets, mix
 
 ROWS, BANDS = 5, 50
 #: Documents per signature matrix.
 BLOCK = 1024
+#: Items before it that a prefix item carries.
+EARLIER = 4
 
 
 def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
@@ -150,7 +152,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     needed = stored(members.select("node").distinct(), "bucket-nodes")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("t"))
-    sets = texts.join(needed, "node", "left_semi").mapInArrow(_full_sets, "node long, items array<long>")
+    sets = semi_join(texts, needed, "node", F.xxhash64).mapInArrow(_full_sets, "node long, items array<long>")
     if not rows.where("n > 0").groupBy("k_id", "k_text").count().where("count > 1").isEmpty():
         sets = sets.dropDuplicates(["node", "items"])  # documents listed twice
     sets = stored(sets.withColumn("own", F.xxhash64("items")), "full-sets")
@@ -186,8 +188,9 @@ def _across(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int)
     seen = W.partitionBy("node", "own")
     place = F.col("n") - F.count(F.lit(1)).over(seen) + F.row_number().over(seen.orderBy("df", "item")) - 1
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
-    heads = stored(common.withColumn("place", place).where(F.col("place") <= prefix)
-                   .select("item", "node", "part", "n", "place"), "prefixes")
+    earlier = F.collect_list("item").over(seen.orderBy("df", "item").rowsBetween(-EARLIER, -1))
+    heads = stored(common.withColumn("place", place).withColumn("earlier", earlier).where(F.col("place") <= prefix)
+                   .select("item", "node", "part", "n", "place", "earlier"), "prefixes")
     # of an item's components the largest one meets the others, not itself
     sizes = heads.groupBy("item", "part").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("item").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("m")).where("parts > 1")
@@ -197,5 +200,7 @@ def _across(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int)
     left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     enough = (100 + percent) * left >= percent * (F.col("x.n") + F.col("y.n"))
     new = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    met = x.join(y, (F.col("x.item") == F.col("y.item")) & new & enough & _fits(F.col("x.n"), F.col("y.n"), percent))
+    # copies share runs of items: two sets that share one just before have met there, their first meeting is never left out
+    first = ~F.arrays_overlap("x.earlier", "y.earlier")
+    met = x.join(y, (F.col("x.item") == F.col("y.item")) & new & enough & _fits(F.col("x.n"), F.col("y.n"), percent) & first)
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
