@@ -175,6 +175,23 @@ def bpe_ctes(mode: str) -> tuple[str, ...]:
     return (*WORDS, first, seen, start, *steps)
 
 
+def bpe_whole_ctes() -> tuple[str, ...]:
+    """All merges of the substring rule, or the reference's number of them: a step of the recursion is one merge. ``tr`` has
+    every word under the place of its first occurrence; the rows of the last step name how many merges were made."""
+    return (*WORDS, "seen AS (SELECT lower(token) AS word, min([doc_id, pos]) AS first FROM tok GROUP BY 1)",
+            """w0 AS MATERIALIZED (SELECT sy.word, freq, array_to_string(syms, ' ') AS start, row_number() OVER (ORDER BY first, sy.word) * 1000000000 AS place
+    FROM sy JOIN seen USING (word))""",
+            f"""tr(place, n, seg, merges) USING KEY (place) AS (
+    SELECT place, freq, start, 0 FROM w0
+    UNION
+    SELECT place, n, replace(seg, a || ' ' || b, a || b), done + 1 FROM recurring.tr,
+        (SELECT s[j] AS a, s[j + 1] AS b, sum(n) AS cnt, min(place + j) AS seen
+        FROM (SELECT n, place, s, unnest(range(1, len(s))) AS j FROM (SELECT n, place, string_split(seg, ' ') AS s FROM recurring.tr WHERE contains(seg, ' ')))
+        GROUP BY 1, 2 ORDER BY cnt DESC, seen LIMIT 1), (SELECT max(merges) AS done FROM tr)
+    WHERE done < {C.BPE_FULL_MERGES} AND contains(seg, a || ' ' || b))""",
+            "whole AS MATERIALIZED (SELECT word, freq, seg FROM w0 JOIN tr USING (place))")
+
+
 EMB = ("e AS (SELECT vec_id, embedding, label FROM embeddings)",
        f"qv AS (SELECT embedding AS qe, vec_id AS q FROM e WHERE vec_id % {C.QUERY_EVERY} = 0)",
        """ev AS (SELECT e.vec_id, e.label, e.embedding, qv.q,
@@ -259,15 +276,16 @@ lsim AS (SELECT lo, hi, round(dot, 9) AS sim FROM ldot)""", knn_ctes(sim_table="
     last = f"w{C.BPE_MERGES}"
     q["bpe_train"] = sub + merges
     q["bpe_train_symbol"] = _with(*BASE, *bpe_ctes("symbol")) + merges
-    q["bpe_segmented"] = sub + f"SELECT word, freq, seg FROM {last}"
-    q["bpe_segmented_corpus"] = sub + f"SELECT t.doc_id, t.pos, w.seg FROM tok t JOIN {last} w ON w.word = lower(t.token)"
+    whole = _with(*BASE, *bpe_whole_ctes()).replace("WITH ", "WITH RECURSIVE ", 1)
+    q["bpe_segmented"] = whole + "SELECT word, freq, seg FROM whole"
+    q["bpe_segmented_corpus"] = whole + "SELECT t.doc_id, t.pos, w.seg FROM tok t JOIN whole w ON w.word = lower(t.token)"
     full = f"""SELECT DISTINCT term FROM (SELECT CASE WHEN ends_with(seg, '{C.EOW}') THEN seg[:-{len(C.EOW) + 1}] ELSE seg END AS term
-    FROM {last} WHERE NOT contains(seg, ' ')) WHERE term <> ''"""
-    q["bpe_full_words"] = sub + full
+    FROM {{words}} WHERE NOT contains(seg, ' ')) WHERE term <> ''"""
+    q["bpe_full_words"] = sub + full.format(words=last)
     q["bpe_vocab"] = sub + f"""SELECT row_number() OVER (ORDER BY new, rank, token) - 1 AS position, token FROM (
     SELECT 0 AS new, 0 AS rank, symbol AS token FROM init UNION ALL
     SELECT 1, min(rank), a || b FROM ({merges}) WHERE a || b NOT IN (SELECT symbol FROM init) GROUP BY 3)"""
-    q["tfidf_bpe_vocab"] = _with(*BASE, *bpe_ctes("substring"), f"vocab AS ({full})", tfidf_ctes()) + \
+    q["tfidf_bpe_vocab"] = _with(*BASE, *bpe_whole_ctes(), f"vocab AS ({full.format(words='whole')})", tfidf_ctes()).replace("WITH ", "WITH RECURSIVE ", 1) + \
         "SELECT doc_id, term, n, term_count, w FROM tfidf"
     q["knn_predict"] = _with(*KNN) + "SELECT doc_id, fold, actual, predicted FROM preds"
     macro = ("SELECT class, {r} FROM prf1 UNION ALL "
