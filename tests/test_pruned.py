@@ -58,3 +58,11 @@ def test_empty_tables_and_repeated_queries(spark):
         assert empty.collect() == []
     with pytest.raises(ValueError):
         pruned.top_k(w, q, f, 0)
+
+
+def test_no_entries_and_no_pairs_are_shuffled(spark):
+    """Behind the stored blocks nothing moves but the blocks of queries."""
+    vec = vectors(60, 20, 3, copies=4)
+    w, q, f = tables(spark, vec, {d: d % 4 for d in vec}, [d for d in vec if d % 3 == 0])
+    plan = pruned.top_k(w, q, f, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "Exchange" not in plan.split("MapInArrow")[0]
